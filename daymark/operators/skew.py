@@ -1,0 +1,115 @@
+"""Left joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+HeavyKeys = Mapping[tuple, float]  # key values -> number of rows that share them
+
+
+@dataclass(frozen=True)
+class SkewPolicy:
+    """When to look for heavy keys, and how many rows of one key a single task may hold.
+
+    ``check_bytes``: inputs whose files are smaller than this are joined without looking; one task could take them whole.
+    ``rows_per_task``: a key with more rows than this is spread over several tasks.
+    """
+
+    check_bytes: int = 4 << 30
+    rows_per_task: int = 4_000_000
+
+    def watches(self, *frames: DataFrame) -> bool:
+        return any(input_bytes(df) >= self.check_bytes for df in frames)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files (or other sources) below a plan, as the session knows it without running anything."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int, weight: str | None = None) -> HeavyKeys:
+    """Keys with more than ``rows_per_task`` rows, NULL included, and their row counts.
+
+    Runs a count per key, combined within each task first. No more than ``rows / rows_per_task`` keys can pass the
+    threshold, which bounds what comes to the driver. With ``weight`` a row counts as that many rows.
+    """
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counted = df.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > rows_per_task)
+    return {tuple(row[k] for k in keys): float(row["_rows"]) for row in counted.collect()}
+
+
+def key_table(like: DataFrame, keys: Sequence[str], columns: Sequence[StructField], rows: list[tuple]) -> DataFrame:
+    """A small table from values held by the driver, its key columns typed as in ``like``."""
+    fields = [StructField(k, like.schema[k].dataType) for k in keys]
+    return like.sparkSession.createDataFrame(rows, StructType([*fields, *columns]))
+
+
+def look_up(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the other columns of a small ``table`` of distinct keys; NULL keys find each other.
+
+    The tables passed here come from ``key_table`` over ``heavy_keys``, whose bound makes the broadcast safe.
+    """
+    renamed = table.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return df.join(F.broadcast(renamed), same, "left").drop(*[f"_key_{k}" for k in keys])
+
+
+def spread_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_heavy: HeavyKeys,
+    right_heavy: HeavyKeys,
+    rows_per_task: int,
+) -> DataFrame:
+    """``left.join(right, keys, 'left')`` with the rows of heavy keys dealt out over several tasks.
+
+    The rows of a heavy key are split over as many salts as their number asks for, and the partner's rows of that key
+    are repeated once per salt, so every pair still meets exactly once. Keys that are not heavy get salt 0 and one copy.
+    """
+    if not left_heavy and not right_heavy:
+        return left.join(right, list(keys), "left")
+
+    def splits(rows: float) -> int:
+        return max(1, ceil(rows / rows_per_task))
+
+    table = key_table(
+        left,
+        keys,
+        [StructField("_left_splits", IntegerType()), StructField("_right_splits", IntegerType())],
+        [
+            (*key, splits(left_heavy.get(key, 0)), splits(right_heavy.get(key, 0)))
+            for key in {*left_heavy, *right_heavy}
+        ],
+    )
+    salts = ["_left_salt", "_right_salt"]
+
+    def salted(df: DataFrame, own: str, partner: str) -> DataFrame:
+        tagged = look_up(df, table, keys)
+        own_splits, copies = (F.coalesce(F.col(f"{side}_splits"), F.lit(1)) for side in (own, partner))
+        return tagged.withColumns(
+            {f"{own}_salt": _salt(df.columns, own_splits), f"{partner}_salt": F.explode(F.sequence(F.lit(0), copies - 1))}
+        )
+
+    dealt = salted(left, "_left", "_right")
+    partners = salted(right, "_right", "_left").drop("_left_splits", "_right_splits").withColumn("_met", F.lit(True))
+    met = dealt.join(partners, [*keys, *salts], "left")
+    # A key split on the right does have partners; a salt that happens to hold none of them is no missing match.
+    kept = met.where((F.coalesce(F.col("_right_splits"), F.lit(1)) == 1) | F.col("_met").isNotNull())
+    return kept.select(*left.columns, *[c for c in right.columns if c not in keys])
+
+
+def _salt(columns: Sequence[str], splits: Column) -> Column:
+    # The partition number keeps equal rows from sharing one salt. It does not depend on row order within the
+    # partition, so a task that is run again deals its rows out the same way.
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *columns), splits).cast("int")
+    return F.when(splits > 1, dealt).otherwise(0)

@@ -1,0 +1,63 @@
+"""Every registered query against its SQL twin, value by value."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
+TABLES = ["part", "lineitem"]
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDERS[0]), reason="test tables are not here")
+
+
+def sortable(value):
+    if value is None:
+        return (0, "")
+    if isinstance(value, float) and math.isnan(value):
+        return (2, "nan")
+    return (1, repr(value))
+
+
+def as_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    picked = [tuple(row[i] for i in order) for row in rows]
+    return sorted(picked, key=lambda row: [sortable(v) for v in row])
+
+
+@pytest.fixture(scope="module", params=FOLDERS)
+def folder(request):
+    return request.param
+
+
+@pytest.fixture(scope="module")
+def duck(folder):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    return connection
+
+
+def test_same_names():
+    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query_equals_sql(spark, duck, folder, name):
+    result = entry_points.queries()[name](spark, folder)
+    rows = [tuple(row) for row in result.collect()]
+    cursor = duck.execute(entry_points.oracle_sql()[name])
+    expected_columns = [column[0] for column in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(result.columns) == sorted(expected_columns)
+    assert rows, "a query that returns nothing proves nothing"
+    assert as_rows(result.columns, rows) == as_rows(expected_columns, expected)
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 400
