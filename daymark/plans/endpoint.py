@@ -142,13 +142,16 @@ def active_future(tables: Tables, day: int = C.HORIZON_DAY) -> DataFrame:
     )
 
 
-def view_future(tables: Tables, day: int = C.HORIZON_DAY) -> DataFrame:
-    """Newest view forecast per key, not per title, and without a bound on its day: a title may have several."""
+def view_future(tables: Tables, day: int = C.HORIZON_DAY, dated: bool = True) -> DataFrame:
+    """Newest view forecast per key, not per title, and without a bound on its day: a title may have several.
+
+    The endpoint does not use the date; without it (``dated=False``) the scan leaves that column out.
+    """
     wanted = (F.col("phase") != C.PHASE_POST_LAUNCH) & (F.col("target_day") == day)
-    ties = [*TIE_BREAKERS, "title_name", "effective_start_date"]
-    return latest_per_key(tables.view_forecast, ["match_id"], "pred_day", ties, wanted).select(
-        "title_name", "effective_start_date", F.col("prediction").alias("viewpct"), F.lit(C.LABEL_PRELAUNCH).alias("phase")
-    )
+    date = ["effective_start_date"] if dated else []
+    return latest_per_key(
+        tables.view_forecast, ["match_id"], "pred_day", [*TIE_BREAKERS, "title_name", *date], wanted
+    ).select("title_name", *date, F.col("prediction").alias("viewpct"), F.lit(C.LABEL_PRELAUNCH).alias("phase"))
 
 
 def future(
@@ -162,7 +165,7 @@ def future(
                  ["title_name_season"], ["title_name"], unique=True),
             # One row per value: the join otherwise repeats a title's rows once per key that forecasts the same value,
             # which grows with the square of the keys per title.
-            Side(view_future(tables, horizon).select("title_name", "viewpct").distinct(),
+            Side(view_future(tables, horizon, dated=False).select("title_name", "viewpct").distinct(),
                  ["title_name_season"], ["title_name"]),
         ],
         skew,

@@ -1,0 +1,226 @@
+"""Operators one by one, on rows written for the purpose."""
+
+from __future__ import annotations
+
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from daymark.functions import entity_key, finished_label, initcap, lowercase_columns, phase_label, title_season_name
+from daymark.operators import (
+    Side,
+    SkewPolicy,
+    heavy_keys,
+    input_bytes,
+    join_sources,
+    labelled_sum,
+    latest_per_key,
+    snapshot_at,
+    spread_left_join,
+    stack,
+    union_distinct,
+)
+from daymark.plans import run_file, run_template
+from daymark.queries import SNAPSHOT_SQL
+
+
+def rows_of(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+# --- expressions ---------------------------------------------------------------------------------------------------
+
+
+def test_entity_key(spark):
+    df = spark.createDataFrame(
+        [("5", 1, "series"), ("5", None, "series"), ("5", None, "movie"), ("6", 2, "movie"), ("7", 0, None)],
+        "title_id string, season_number int, content_category string",
+    )
+    assert [row[0] for row in df.select(entity_key()).collect()] == ["5-1", None, "5", "6", "7"]
+    numeric = df.withColumn("title_id", F.col("title_id").cast("bigint"))
+    assert [row[0] for row in numeric.select(entity_key()).collect()] == ["5-1", None, "5", "6", "7"]
+
+
+def test_title_season_name(spark):
+    df = spark.createDataFrame(
+        [("a", 3), ("a", 0), ("a", None), ("a", -1), (None, 2)], "title_name string, season_number int"
+    )
+    assert [row[0] for row in df.select(title_season_name()).collect()] == ["a S3", "a", "a", "a", None]
+
+
+def test_initcap(spark):
+    names = ["spider-man: the MOVIE", "two  blanks", "", None, "a.b c]d^e\\f"]
+    df = spark.createDataFrame([(n,) for n in names], "title_name string")
+    plain = [row[0] for row in df.select(initcap("title_name")).collect()]
+    assert plain == ["Spider-man: The Movie", "Two  Blanks", "", None, "A.b C]d^e\\f"]
+    cut = [row[0] for row in df.select(initcap("title_name", " -:.]^\\")).collect()]
+    assert cut == ["Spider-Man: The Movie", "Two  Blanks", "", None, "A.B C]D^E\\F"]
+
+
+def test_labels(spark):
+    flags = spark.createDataFrame([(1,), (0,), (None,)], "finished_window_flag int")
+    assert [row[0] for row in flags.select(finished_label()).collect()] == ["actual", "postlaunch", "postlaunch"]
+    phases = spark.createDataFrame([("Pre-Launch",), ("Post-Greenlight",), (None,)], "phase string")
+    assert [row[0] for row in phases.select(phase_label()).collect()] == ["prelaunch", "postgreenlight", "postgreenlight"]
+
+
+def test_lowercase_columns(spark):
+    assert lowercase_columns(spark.sql("SELECT 1 AS A_B, 2 AS Cd")).columns == ["a_b", "cd"]
+
+
+# --- snapshot, pick, sums, union -------------------------------------------------------------------------------------
+
+
+def test_snapshot_at(spark):
+    df = spark.createDataFrame([("k", 28, 0.25), ("k", 27, 0.5), (None, 28, None)], "k string, d int, v double")
+    assert rows_of(snapshot_at(df, "k", "d", 28, "v", "out", scale=100, label="actual")) == [
+        ("k", 25.0, "actual"),
+        (None, None, "actual"),
+    ]
+    assert snapshot_at(df, "k", "d", 28, "v", "out").columns == ["k", "out"]
+
+
+PICKS = [
+    ("a", 1, 5.0, "x"),
+    ("a", 3, 1.0, "x"),
+    ("a", 3, 2.0, "x"),
+    ("a", 3, 2.0, "y"),
+    ("b", None, 0.0, "z"),
+    ("b", 9, 9.0, "z"),
+    (None, 1, 1.0, "n"),
+    (None, 2, None, "n"),
+]
+
+
+def test_latest_per_key(spark):
+    df = spark.createDataFrame(PICKS, "k string, day int, v double, p string")
+    expected = [("a", 3, 2.0, "y"), ("b", None, 0.0, "z"), (None, 2, None, "n")]
+    assert rows_of(latest_per_key(df, ["k"], "day", ["v", "p"])) == expected
+    bounded = latest_per_key(df, ["k"], "day", ["v", "p"], where=F.col("day") <= 2)
+    assert rows_of(bounded) == [("a", 1, 5.0, "x"), (None, 2, None, "n")]
+
+
+def test_latest_per_key_does_not_depend_on_placement(spark):
+    results = set()
+    for order in itertools.islice(itertools.permutations(PICKS), 0, 40320, 9000):
+        df = spark.createDataFrame(list(order), "k string, day int, v double, p string").repartition(3)
+        results.add(tuple(rows_of(latest_per_key(df, ["k"], "day", ["v", "p"]))))
+    assert len(results) == 1
+
+
+def test_labelled_sum(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 1, None), ("a", 0, 5.0), ("b", 1, None)], "k string, f int, v double")
+    summed = labelled_sum(df, ["k", "f"], "v", "total", F.when(F.col("f") == 1, "yes").otherwise("no"))
+    assert rows_of(summed) == [("a", 0, 5.0, "no"), ("a", 1, 2.0, "yes"), ("b", 1, None, "yes")]
+
+
+def test_unions(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "n int, s string")
+    b = spark.createDataFrame([("x", 2), ("y", 3)], "s string, n int")
+    assert rows_of(union_distinct(a, b, ["n", "s"])) == [(1, None), (2, "x"), (3, "y")]
+    assert stack(a, b, ["n", "s"]).count() == 5
+    with pytest.raises(TypeError):
+        stack(a, b.withColumn("n", F.col("n").cast("bigint")), ["n", "s"])
+
+
+# --- joins -----------------------------------------------------------------------------------------------------------
+
+
+def test_join_sources_keys_and_names(spark):
+    base = spark.createDataFrame([("a", 1), ("b", None), (None, 3)], "k string, s int")
+    one = spark.createDataFrame([("a", 10), ("a", 11), (None, 12)], "other string, v int")
+    two = spark.createDataFrame([("a", 1, 20), ("b", None, 21)], "k string, s int, w int")
+    joined = join_sources(base, [Side(one, ["k"], ["other"]), Side(two, ["k", "s"], ["k", "s"])])
+    assert joined.columns == ["k", "s", "v", "w"]
+    assert rows_of(joined) == [("a", 1, 10, 20), ("a", 1, 11, 20), ("b", None, None, None), (None, 3, None, None)]
+    with pytest.raises(ValueError):
+        join_sources(base, [Side(two, ["k"], ["k"])])
+
+
+def skewed(spark, left_hot, right_hot):
+    """Keys 0 to 9; ``left_hot`` and ``right_hot`` name keys with many rows, among them copies."""
+    left = [(k, None, i) for k in [*range(10), None] for i in range(40 if k in left_hot else 2)]
+    left += [(k, 1, 0) for k in left_hot] * 25
+    right = [(k, i % 7) for k in range(0, 10, 2) for i in range(30 if k in right_hot else 1)]
+    right += [(None, 99)] * 20
+    return (
+        spark.createDataFrame(left, "k int, s int, i int").repartition(4),
+        spark.createDataFrame(right, "k int, v int").repartition(4),
+    )
+
+
+@pytest.mark.parametrize(
+    "left_hot, right_hot",
+    [((), ()), ((4,), ()), ((3, None), ()), ((), (4,)), ((4, 3), (4, 6)), ((None,), (2,))],
+)
+def test_spread_left_join_is_the_left_join(spark, left_hot, right_hot):
+    left, right = skewed(spark, left_hot, right_hot)
+    limit = 5
+    left_heavy = heavy_keys(left, ["k"], limit)
+    right_heavy = heavy_keys(right.dropna(), ["k"], limit)
+    assert set(left_heavy) == {(k,) for k in left_hot}
+    assert set(right_heavy) == {(k,) for k in right_hot}
+    spread = spread_left_join(left, right, ["k"], left_heavy, right_heavy, limit)
+    assert spread.columns == ["k", "s", "i", "v"]
+    assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
+
+
+def test_spread_left_join_keeps_a_heavy_key_from_one_task(spark):
+    """No task may get much more than the limit, whichever side is heavy."""
+    limit = 200
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        heavy = spark.range(6000).select(F.lit(7).alias("k"), F.col("id").alias("n")).repartition(6)
+        light = spark.createDataFrame([(7, "x"), (8, "y")], "k int, t string")
+        for left, right in [(heavy, light), (light, heavy)]:
+            counts = heavy_keys(left, ["k"], limit), heavy_keys(right, ["k"], limit)
+            spread = spread_left_join(left, right, ["k"], *counts, limit)
+            rows = spread.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            assert sum(row["count"] for row in rows) == (6000 if left is heavy else 6001)
+            assert max(row["count"] for row in rows) < 6000 / 2
+            assert len(rows) >= 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_watched_chain_is_the_plain_chain(spark):
+    """A side that multiplies a key makes it heavy for the joins that follow, under the same key or another one."""
+    base = spark.createDataFrame([(k, k % 3, None if k == 5 else "n") for k in range(12)], "k int, s int, n string")
+    many = spark.createDataFrame([(4, i) for i in range(30)] + [(5, 1)], "k int, v int")
+    more = spark.createDataFrame([(4, i) for i in range(3)] + [(6, 1)], "k int, w int")
+    pairs = spark.createDataFrame([(4, 1, i) for i in range(4)] + [(3, 0, 1)], "k int, s int, x int")
+    single = spark.createDataFrame([(k, k * 10) for k in range(8)], "k int, y int")
+    sides = [
+        Side(many, ["k"], ["k"]),
+        Side(more, ["k"], ["k"]),
+        Side(single, ["k"], ["k"], unique=True),
+        Side(pairs, ["k", "s"], ["k", "s"]),
+    ]
+    plain = join_sources(base, sides, SkewPolicy(check_bytes=1 << 80))
+    watched = join_sources(base, sides, SkewPolicy(check_bytes=0, rows_per_task=10))
+    assert rows_of(watched) == rows_of(plain)
+
+
+def test_input_bytes_counts_files(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    spark.range(1000).write.parquet(path)
+    stored = sum(f.stat().st_size for f in (tmp_path / "numbers").glob("*.parquet"))
+    df = spark.read.parquet(path)
+    assert input_bytes(df.groupBy("id").count()) == pytest.approx(stored, rel=0.05)
+    assert not SkewPolicy().watches(df)
+    assert SkewPolicy(check_bytes=stored // 2).watches(df)
+
+
+# --- SQL text ----------------------------------------------------------------------------------------------------------
+
+
+def test_parametrised_text(spark):
+    spark.createDataFrame([("a", 1.0, 28), ("b", 2.0, 7)], "match_id string, pct_actives double, days_on_platform int") \
+        .createOrReplaceTempView("days")
+    assert rows_of(run_file(spark, SNAPSHOT_SQL, snapshot="days", day=7)) == [("b", 2.0)]
+    assert run_file(spark, SNAPSHOT_SQL, snapshot="days", day=7).columns == ["match_id", "activepct"]
+    quoted = run_template(spark, "SELECT :text AS Text", text="it's; -- {not} a template")
+    assert rows_of(quoted) == [("it's; -- {not} a template",)] and quoted.columns == ["text"]
