@@ -32,7 +32,7 @@ class SkewPolicy:
 
 def input_bytes(df: DataFrame) -> int:
     """Size of the files (or other sources) below a plan, as the session knows it without running anything."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 

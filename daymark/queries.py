@@ -15,8 +15,8 @@ from daymark.plans import build_endpoint, future, launched, run_file
 from daymark.plans import endpoint as stages
 from daymark.session import fresh_folder
 from daymark.sinks import by_start_date, replace_table, write_csv_indexed
-from daymark.sources import RESULT_SCHEMA, SCHEMAS, Tables
-from daymark.sources.driver_tables import driver_tables, entity_base_per_line
+from daymark.sources import RESULT_SCHEMA, Tables
+from daymark.sources.driver_tables import DriverTables
 
 SNAPSHOT_SQL = Path(__file__).parent / "plans" / "sql" / "snapshot.sql"
 
@@ -158,7 +158,7 @@ def csv_indexed(t: Tables) -> DataFrame:
     return spark.read.csv(path, header=True, schema="_c0 bigint, title_id string, title_name string, season_number int")
 
 
-ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
+ON_TABLES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "scan_entity_base": scan_entity_base,
     "entity_key": entity_keys,
     "title_season_name": title_season_names,
@@ -168,6 +168,7 @@ ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "label_phase": label_phase,
     "filter_phase_not_equal": filter_phase_not_equal,
     "filter_conjunction": filter_conjunction,
+    "distinct_base": lambda t: stages.base_entities(t.entity_base_per_line),
     "snapshot_active": stages.measured_active,
     "snapshot_view_scaled": stages.measured_view,
     "latest_active_launched": lambda t: stages.forecast_launched(t.active_forecast, "activepct"),
@@ -196,12 +197,8 @@ ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def distinct_base(spark: SparkSession, folder: str) -> DataFrame:
-    return stages.base_entities(entity_base_per_line(spark, folder))
-
-
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def over_folder(query: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: query(driver_tables(spark, folder))
+    def over_folder(query: Callable[[DriverTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, folder: query(DriverTables(spark, folder))
 
-    return {**{name: over_folder(query) for name, query in ON_TABLES.items()}, "distinct_base": distinct_base}
+    return {name: over_folder(query) for name, query in ON_TABLES.items()}
