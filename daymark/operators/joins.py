@@ -7,9 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField
 
-from daymark.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, key_table, look_up, spread_left_join
+from daymark.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, spread_left_join
 from daymark.session import ensure_checkpoint_dir
 
 
@@ -39,11 +38,13 @@ def join_sources(base: DataFrame, sides: Sequence[Side], skew: SkewPolicy | None
     executor makes Spark scan the sources again.
     """
     policy = skew or SkewPolicy()
+    taken = set(base.columns)
     for side in sides:
-        shared = set(side.renamed().columns) & set(base.columns) - set(side.left_keys)
-        if shared:
-            raise ValueError(f"ambiguous columns on both sides of the join: {sorted(shared)}")
-    if not policy.watches(base, *[side.df for side in sides]):
+        added = set(side.df.columns) - set(side.right_keys)
+        if taken & added:
+            raise ValueError(f"ambiguous columns in the join: {sorted(taken & added)}")
+        taken |= added
+    if not policy.watches(base, *[side.df for side in sides if not side.unique]):
         joined = base
         for side in sides:
             joined = joined.join(side.renamed(), list(side.left_keys), "left")
@@ -55,22 +56,25 @@ def _join_watched(base: DataFrame, sides: Sequence[Side], policy: SkewPolicy) ->
     ensure_checkpoint_dir(base.sparkSession)
     base = base.checkpoint()
     joined = base
-    weighted = base.withColumn("_weight", F.lit(1.0))  # rows of the joined result that each base row stands for
+    # How many joined rows each combination of key values stands for so far; one row per combination, so no join of
+    # these counts can itself be unbalanced by a heavy key.
+    grown = base.groupBy(*dict.fromkeys(key for side in sides for key in side.left_keys)).agg(
+        F.count(F.lit(1)).cast("double").alias("_rows")
+    )
     left_heavy: dict[tuple, HeavyKeys] = {}
     for side in sides:
-        keys = tuple(side.left_keys)
-        right, right_heavy = side.renamed(), {}
+        keys, right = list(side.left_keys), side.renamed()
+        if tuple(keys) not in left_heavy:
+            left_heavy[*keys] = heavy_keys(grown.groupBy(*keys).agg(F.sum("_rows").alias("_rows")), keys, policy)
+        right_heavy: HeavyKeys = {}
         if not side.unique:
-            right = right.dropna(subset=list(keys)).checkpoint()
-            right_heavy = heavy_keys(right, keys, policy.rows_per_task)
-        if keys not in left_heavy:
-            left_heavy[keys] = heavy_keys(weighted, keys, policy.rows_per_task, weight="_weight")
-        joined = spread_left_join(joined, right, keys, left_heavy[keys], right_heavy, policy.rows_per_task)
-        if right_heavy:
-            counts = [(*key, rows) for key, rows in right_heavy.items()]
-            table = key_table(base, keys, [StructField("_times", DoubleType())], counts)
-            weighted = look_up(weighted, table, keys).withColumn(
-                "_weight", F.col("_weight") * F.coalesce("_times", F.lit(1.0))
+            right = right.dropna(subset=keys).checkpoint()
+            partners = right.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_rows"))
+            right_heavy = heavy_keys(partners, keys, policy)
+            grown = grown.join(partners.withColumnRenamed("_rows", "_times"), keys, "left").withColumn(
+                "_rows", F.col("_rows") * F.coalesce("_times", F.lit(1.0))
             ).drop("_times")
-            left_heavy = {}  # the base has grown under these keys; count again
+        joined = spread_left_join(joined, right, keys, left_heavy[*keys], right_heavy, policy)
+        if not side.unique:
+            left_heavy.clear()  # the base has grown
     return joined

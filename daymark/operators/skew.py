@@ -19,12 +19,12 @@ HeavyKeys = Mapping[tuple, float]  # key values -> number of rows that share the
 class SkewPolicy:
     """When to look for heavy keys, and how many rows of one key a single task may hold.
 
-    ``check_bytes``: inputs whose files are smaller than this are joined without looking; one task could take them whole.
+    ``check_bytes``: inputs whose files are all smaller than this are joined without looking.
     ``rows_per_task``: a key with more rows than this is spread over several tasks.
     """
 
-    check_bytes: int = 4 << 30
-    rows_per_task: int = 4_000_000
+    check_bytes: int = 256 << 20
+    rows_per_task: int = 1_000_000
 
     def watches(self, *frames: DataFrame) -> bool:
         return any(input_bytes(df) >= self.check_bytes for df in frames)
@@ -36,27 +36,19 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int, weight: str | None = None) -> HeavyKeys:
-    """Keys with more than ``rows_per_task`` rows, NULL included, and their row counts.
+def heavy_keys(counts: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HeavyKeys:
+    """Keys that stand for more rows than one task may hold, from ``counts`` of one row per key with its ``_rows``.
 
-    Runs a count per key, combined within each task first. No more than ``rows / rows_per_task`` keys can pass the
-    threshold, which bounds what comes to the driver. With ``weight`` a row counts as that many rows.
+    No more than ``all rows / rows_per_task`` keys can pass the threshold, which bounds what comes to the driver.
     """
-    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = df.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > rows_per_task)
-    return {tuple(row[k] for k in keys): float(row["_rows"]) for row in counted.collect()}
+    heavy = counts.where(F.col("_rows") > policy.rows_per_task)
+    return {tuple(row[k] for k in keys): float(row["_rows"]) for row in heavy.select(*keys, "_rows").collect()}
 
 
-def key_table(like: DataFrame, keys: Sequence[str], columns: Sequence[StructField], rows: list[tuple]) -> DataFrame:
-    """A small table from values held by the driver, its key columns typed as in ``like``."""
-    fields = [StructField(k, like.schema[k].dataType) for k in keys]
-    return like.sparkSession.createDataFrame(rows, StructType([*fields, *columns]))
-
-
-def look_up(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _look_up(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with the other columns of a small ``table`` of distinct keys; NULL keys find each other.
 
-    The tables passed here come from ``key_table`` over ``heavy_keys``, whose bound makes the broadcast safe.
+    The table comes from ``heavy_keys``, whose bound makes the broadcast safe.
     """
     renamed = table.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
@@ -69,7 +61,7 @@ def spread_left_join(
     keys: Sequence[str],
     left_heavy: HeavyKeys,
     right_heavy: HeavyKeys,
-    rows_per_task: int,
+    policy: SkewPolicy,
 ) -> DataFrame:
     """``left.join(right, keys, 'left')`` with the rows of heavy keys dealt out over several tasks.
 
@@ -80,21 +72,21 @@ def spread_left_join(
         return left.join(right, list(keys), "left")
 
     def splits(rows: float) -> int:
-        return max(1, ceil(rows / rows_per_task))
+        return max(1, ceil(rows / policy.rows_per_task))
 
-    table = key_table(
-        left,
-        keys,
-        [StructField("_left_splits", IntegerType()), StructField("_right_splits", IntegerType())],
+    fields = [StructField(k, left.schema[k].dataType) for k in keys]
+    fields += [StructField(f"{side}_splits", IntegerType()) for side in ("_left", "_right")]
+    table = left.sparkSession.createDataFrame(
         [
             (*key, splits(left_heavy.get(key, 0)), splits(right_heavy.get(key, 0)))
             for key in {*left_heavy, *right_heavy}
         ],
+        StructType(fields),
     )
     salts = ["_left_salt", "_right_salt"]
 
     def salted(df: DataFrame, own: str, partner: str) -> DataFrame:
-        tagged = look_up(df, table, keys)
+        tagged = _look_up(df, table, keys)
         own_splits, copies = (F.coalesce(F.col(f"{side}_splits"), F.lit(1)) for side in (own, partner))
         return tagged.withColumns(
             {f"{own}_salt": _salt(df.columns, own_splits), f"{partner}_salt": F.explode(F.sequence(F.lit(0), copies - 1))}

@@ -21,6 +21,9 @@ def local_session(name: str = "daymark", cores: str | int = "*") -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
+        # The endpoint alone needs more generated classes than the default cache of 100 holds; compiling them anew on every
+        # run costs more than the work itself when a session runs many queries.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
 

@@ -1,3 +1,3 @@
-from daymark.sources.tables import RESULT_SCHEMA, SCHEMAS, Tables, conform, from_catalog, from_parquet
+from daymark.sources.tables import RESULT_SCHEMA, SCHEMAS, Tables, conform, from_catalog, from_parquet, from_values
 
-__all__ = ["RESULT_SCHEMA", "SCHEMAS", "Tables", "conform", "from_catalog", "from_parquet"]
+__all__ = ["RESULT_SCHEMA", "SCHEMAS", "Tables", "conform", "from_catalog", "from_parquet", "from_values"]

@@ -19,6 +19,10 @@ FIRST_START = "1995-01-01"
 FIRST_PREMIERE = "2002-01-01"
 
 
+def _input(name: str, rows: DataFrame, where: Column, **computed: Column) -> DataFrame:
+    return conform(rows.where(where), name, **computed)
+
+
 class DriverTables:
     """The inputs, each planned when it is first asked for."""
 
@@ -58,21 +62,18 @@ class DriverTables:
         )
         return dated.join(self.titles, F.col("l_partkey") == F.col("p_partkey"))
 
-    def _input(self, name: str, rows: DataFrame, where: Column, **columns: Column) -> DataFrame:
-        return conform(rows.where(where).withColumns(columns) if columns else rows.where(where), name)
-
     @cached_property
     def entity_base(self) -> DataFrame:
-        return self._input("entity_base", self.titles, ~F.col("is_future"))
+        return _input("entity_base", self.titles, ~F.col("is_future"))
 
     @cached_property
     def entity_base_per_line(self) -> DataFrame:
         """``entity_base`` with one copy of a title per line item, so that there is something to de-duplicate."""
-        return self._input("entity_base", self.records, ~F.col("is_future"))
+        return _input("entity_base", self.records, ~F.col("is_future"))
 
     @cached_property
     def active_snapshot(self) -> DataFrame:
-        return self._input(
+        return _input(
             "active_snapshot",
             self.records,
             F.expr("NOT is_future AND l_returnflag = 'A' AND l_linestatus = 'F'"),
@@ -82,7 +83,7 @@ class DriverTables:
 
     @cached_property
     def funnel_metrics(self) -> DataFrame:
-        return self._input(
+        return _input(
             "funnel_metrics",
             self.records,
             F.expr("NOT is_future AND l_returnflag = 'A' AND l_linestatus = 'O'"),
@@ -92,7 +93,7 @@ class DriverTables:
 
     def _forecast(self, name: str, status: str) -> DataFrame:
         early = F.when(F.col("l_linenumber") % 2 == 1, C.PHASE_PRE_LAUNCH).otherwise("Post-Greenlight")
-        return self._input(
+        return _input(
             name,
             self.records,
             (F.col("l_returnflag") != "A") & (F.col("l_linestatus") == status),
@@ -111,7 +112,7 @@ class DriverTables:
 
     @cached_property
     def daily_forecast(self) -> DataFrame:
-        return self._input(
+        return _input(
             "daily_forecast",
             self.records,
             F.expr("NOT is_future AND l_linenumber <= 2"),
@@ -122,7 +123,7 @@ class DriverTables:
 
     @cached_property
     def future_forecast(self) -> DataFrame:
-        return self._input(
+        return _input(
             "future_forecast",
             self.records,
             F.col("is_future"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
@@ -85,12 +85,13 @@ class Tables:
     future_forecast: DataFrame
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """The declared columns of an input in their declared types.
+def conform(df: DataFrame, name: str, **computed: Column) -> DataFrame:
+    """The declared columns of an input, taken from ``df`` or ``computed``, in their declared types.
 
     A cast to the type a column already has is dropped by the optimizer, so filters still reach the files.
     """
-    return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in SCHEMAS[name]])
+    fields = SCHEMAS[name]
+    return df.select(*[computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def from_parquet(spark: SparkSession, root: str) -> Tables:
@@ -101,3 +102,8 @@ def from_parquet(spark: SparkSession, root: str) -> Tables:
 def from_catalog(spark: SparkSession, names: Mapping[str, str]) -> Tables:
     """Inputs held in the session's catalog; ``names`` maps an input to its (one- to three-part) table name."""
     return Tables(**{name: conform(spark.table(names.get(name, name)), name) for name in SCHEMAS})
+
+
+def from_values(spark: SparkSession, values: Sequence[int], column: str) -> DataFrame:
+    """A one-column table of numbers written in the program."""
+    return spark.createDataFrame([(value,) for value in values], f"`{column}` bigint")

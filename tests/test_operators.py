@@ -134,8 +134,14 @@ def test_join_sources_keys_and_names(spark):
     joined = join_sources(base, [Side(one, ["k"], ["other"]), Side(two, ["k", "s"], ["k", "s"])])
     assert joined.columns == ["k", "s", "v", "w"]
     assert rows_of(joined) == [("a", 1, 10, 20), ("a", 1, 11, 20), ("b", None, None, None), (None, 3, None, None)]
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError):  # s is a column of the base
         join_sources(base, [Side(two, ["k"], ["k"])])
+    with pytest.raises(ValueError):  # w comes from two sides
+        join_sources(base, [Side(two, ["k", "s"], ["k", "s"]), Side(two, ["k", "s"], ["k", "s"])])
+
+
+def counted(df):
+    return df.groupBy("k").agg(F.count("*").cast("double").alias("_rows"))
 
 
 def skewed(spark, left_hot, right_hot):
@@ -156,27 +162,27 @@ def skewed(spark, left_hot, right_hot):
 )
 def test_spread_left_join_is_the_left_join(spark, left_hot, right_hot):
     left, right = skewed(spark, left_hot, right_hot)
-    limit = 5
-    left_heavy = heavy_keys(left, ["k"], limit)
-    right_heavy = heavy_keys(right.dropna(), ["k"], limit)
+    policy = SkewPolicy(rows_per_task=5)
+    left_heavy = heavy_keys(counted(left), ["k"], policy)
+    right_heavy = heavy_keys(counted(right.dropna()), ["k"], policy)
     assert set(left_heavy) == {(k,) for k in left_hot}
     assert set(right_heavy) == {(k,) for k in right_hot}
-    spread = spread_left_join(left, right, ["k"], left_heavy, right_heavy, limit)
+    spread = spread_left_join(left, right, ["k"], left_heavy, right_heavy, policy)
     assert spread.columns == ["k", "s", "i", "v"]
     assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
 
 
 def test_spread_left_join_keeps_a_heavy_key_from_one_task(spark):
     """No task may get much more than the limit, whichever side is heavy."""
-    limit = 200
+    policy = SkewPolicy(rows_per_task=200)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         heavy = spark.range(6000).select(F.lit(7).alias("k"), F.col("id").alias("n")).repartition(6)
         light = spark.createDataFrame([(7, "x"), (8, "y")], "k int, t string")
         for left, right in [(heavy, light), (light, heavy)]:
-            counts = heavy_keys(left, ["k"], limit), heavy_keys(right, ["k"], limit)
-            spread = spread_left_join(left, right, ["k"], *counts, limit)
+            heavy_counts = [heavy_keys(counted(side), ["k"], policy) for side in (left, right)]
+            spread = spread_left_join(left, right, ["k"], *heavy_counts, policy)
             rows = spread.groupBy(F.spark_partition_id().alias("task")).count().collect()
             assert sum(row["count"] for row in rows) == (6000 if left is heavy else 6001)
             assert max(row["count"] for row in rows) < 6000 / 2

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tests.plans import settings
 
 FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 TABLES = ["part", "lineitem"]
@@ -59,5 +60,39 @@ def test_query_equals_sql(spark, duck, folder, name):
     assert as_rows(result.columns, rows) == as_rows(expected_columns, expected)
 
 
+# Rows per stage, for the two folders above.
+ROWS = {
+    "scan_entity_base": (150, 1500),
+    "distinct_base": (150, 1500),
+    "snapshot_active": (106, 1062),
+    "snapshot_view_scaled": (100, 1074),
+    "latest_active_launched": (148, 1473),
+    "latest_view_launched": (147, 1472),
+    "sum_launched": (253, 2536),
+    "sum_future": (50, 500),
+    "latest_active_future": (42, 194),
+    "latest_view_future": (48, 493),
+    "launched_arm": (340, 3534),
+    "future_arm": (60, 1495),
+    "endpoint_metrics": (400, 5029),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ROWS))
+def test_rows_per_stage(spark, folder, name):
+    assert entry_points.queries()[name](spark, folder).count() == ROWS[name][FOLDERS.index(folder)]
+
+
+def test_fan_out_counts_every_repeated_row(spark, folder):
+    total = entry_points.queries()["left_join_future_fanout"](spark, folder).groupBy().sum("n_rows").first()[0]
+    assert total == {FOLDERS[0]: 60, FOLDERS[1]: 2028}[folder]
+
+
+@pytest.mark.parametrize("name", ["endpoint_metrics", "launched_arm", "left_join_future_fanout"])
+def test_shuffled_joins_give_the_same(spark, duck, folder, name):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        test_query_equals_sql(spark, duck, folder, name)
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 400

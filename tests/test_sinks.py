@@ -15,6 +15,7 @@ from daymark.plans import build_endpoint
 from daymark.session import fresh_folder, shuffle_settings
 from daymark.sinks import by_start_date, publish_version, replace_table, write_csv_indexed
 from daymark.sinks.csv import with_row_index
+from daymark.sources import from_values
 from daymark.timing import elapsed
 from tests import golden
 from tests.plans import settings
@@ -36,7 +37,7 @@ def lines_of(path):
 
 
 def test_csv_of_a_literal_table(spark, tmp_path):
-    df = spark.createDataFrame([(n,) for n in [1, 2, 3, 4, 5]], "a bigint")
+    df = from_values(spark, [1, 2, 3, 4, 5], "a")
     write_csv_indexed(df, str(tmp_path / "out"), ["a"])
     headers, lines = lines_of(tmp_path / "out")
     assert headers == {("_c0", "a")}
