@@ -16,7 +16,7 @@ from daymark.plans import endpoint as stages
 from daymark.session import fresh_folder
 from daymark.sinks import by_start_date, replace_table, write_csv_indexed
 from daymark.sources import RESULT_SCHEMA, Tables
-from daymark.sources.driver_tables import DriverTables
+from daymark.sources.driver_tables import DriverTables, driver_tables
 
 SNAPSHOT_SQL = Path(__file__).parent / "plans" / "sql" / "snapshot.sql"
 
@@ -199,6 +199,6 @@ ON_TABLES: dict[str, Callable[[DriverTables], DataFrame]] = {
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_folder(query: Callable[[DriverTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: query(DriverTables(spark, folder))
+        return lambda spark, folder: query(driver_tables(spark, folder))
 
     return {name: over_folder(query) for name, query in ON_TABLES.items()}

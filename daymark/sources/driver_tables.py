@@ -5,7 +5,7 @@ A part stands for a title (every fourth one a future title), a line item for one
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,3 +130,9 @@ class DriverTables:
             first_views_pred=F.col("l_quantity"),
             schedule_label=F.when(F.col("l_linestatus") == "O", C.SCHEDULE_ALPHA).otherwise("beta"),
         )
+
+
+@lru_cache(maxsize=16)
+def driver_tables(spark: SparkSession, folder: str) -> DriverTables:
+    """The inputs of a folder, opened once per session as catalog tables would be."""
+    return DriverTables(spark, folder)
