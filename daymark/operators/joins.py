@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from math import prod
+from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, spread_left_join
-from daymark.session import ensure_checkpoint_dir
+from daymark.session import stored
 
 
 class Side(NamedTuple):
@@ -34,8 +38,8 @@ def join_sources(base: DataFrame, sides: Sequence[Side], skew: SkewPolicy | None
     is left to the planner, which broadcasts only sides it has measured to be small.
 
     Large inputs (see ``SkewPolicy``) are checked for heavy keys first. For that the base and the sides with several
-    rows per key, by then reduced to what the join needs, are checkpointed, so that neither the check nor a lost
-    executor makes Spark scan the sources again.
+    rows per key, by then reduced to what the join needs, are stored, so that neither the check nor a lost executor makes
+    Spark scan the sources again. Joins are spread only if the check finds a key that could outgrow a task.
     """
     policy = skew or SkewPolicy()
     taken = set(base.columns)
@@ -44,37 +48,74 @@ def join_sources(base: DataFrame, sides: Sequence[Side], skew: SkewPolicy | None
         if taken & added:
             raise ValueError(f"ambiguous columns in the join: {sorted(taken & added)}")
         taken |= added
-    if not policy.watches(base, *[side.df for side in sides if not side.unique]):
-        joined = base
-        for side in sides:
-            joined = joined.join(side.renamed(), list(side.left_keys), "left")
-        return joined
-    return _join_watched(base, sides, policy)
+    sides = [Side(side.renamed(), side.left_keys, side.left_keys, side.unique) for side in sides]
+    multiple = [side for side in sides if not side.unique]
+    if not policy.watches(base, *[side.df for side in multiple]):
+        return _join_in_turn(base, sides)
 
+    frames = [base, *[side.df.dropna(subset=list(side.left_keys)) for side in multiple]]
+    with ThreadPoolExecutor(len(frames)) as pool:  # independent jobs; the cluster runs them side by side
+        base, *tables = pool.map(stored, frames)
+    replaced = iter(tables)
+    sides = [side if side.unique else side._replace(df=next(replaced)) for side in sides]
+    if largest_group(base, sides) <= policy.rows_per_task:
+        return _join_in_turn(base, sides)
+    return _join_spread(base, sides, policy)
 
-def _join_watched(base: DataFrame, sides: Sequence[Side], policy: SkewPolicy) -> DataFrame:
-    ensure_checkpoint_dir(base.sparkSession)
-    base = base.checkpoint()
+
+def _join_in_turn(base: DataFrame, sides: Sequence[Side]) -> DataFrame:
+    for side in sides:
+        base = base.join(side.df, list(side.left_keys), "left")
+    return base
+
+
+def largest_group(base: DataFrame, sides: Sequence[Side]) -> float:
+    """Upper bound of the rows that share a key at any point of the join.
+
+    One job over the keys alone: the largest group of the base under each set of keys, times the largest group of every
+    side that can multiply it. Rows with a NULL key are not multiplied. Keys are hashed; a collision only adds to a bound.
+    """
+    counted = []
+    for keys in {tuple(side.left_keys) for side in sides}:
+        counted += [("base", base.dropna(subset=list(keys)), keys), ("unmatched", base.where(_any_null(keys)), keys)]
+    for number, side in enumerate(sides):
+        if not side.unique:
+            counted.append((f"side {number}", side.df, tuple(side.left_keys)))
+    tagged = [
+        df.select(F.lit(part).alias("_part"), F.lit(",".join(keys)).alias("_keys"), F.xxhash64(*keys).alias("_key"))
+        for part, df, keys in counted
+    ]
+    groups = reduce(DataFrame.union, tagged).groupBy("_part", "_keys", "_key").count()
+    largest = {row["_part"]: float(row["rows"]) for row in groups.groupBy("_part").agg(F.max("count").alias("rows")).collect()}
+    multiplied = prod(max(1.0, rows) for part, rows in largest.items() if part != "unmatched")
+    return max(multiplied, largest.get("unmatched", 0.0))
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(key).isNull() for key in keys])
+
+
+def _join_spread(base: DataFrame, sides: Sequence[Side], policy: SkewPolicy) -> DataFrame:
     joined = base
     # How many joined rows each combination of key values stands for so far; one row per combination, so no join of
     # these counts can itself be unbalanced by a heavy key.
-    grown = base.groupBy(*dict.fromkeys(key for side in sides for key in side.left_keys)).agg(
-        F.count(F.lit(1)).cast("double").alias("_rows")
-    )
+    grown = base.groupBy(*dict.fromkeys(key for side in sides for key in side.left_keys)).agg(_row_count())
     left_heavy: dict[tuple, HeavyKeys] = {}
     for side in sides:
-        keys, right = list(side.left_keys), side.renamed()
+        keys = list(side.left_keys)
         if tuple(keys) not in left_heavy:
             left_heavy[*keys] = heavy_keys(grown.groupBy(*keys).agg(F.sum("_rows").alias("_rows")), keys, policy)
-        right_heavy: HeavyKeys = {}
-        if not side.unique:
-            right = right.dropna(subset=keys).checkpoint()
-            partners = right.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_rows"))
-            right_heavy = heavy_keys(partners, keys, policy)
-            grown = grown.join(partners.withColumnRenamed("_rows", "_times"), keys, "left").withColumn(
-                "_rows", F.col("_rows") * F.coalesce("_times", F.lit(1.0))
-            ).drop("_times")
-        joined = spread_left_join(joined, right, keys, left_heavy[*keys], right_heavy, policy)
-        if not side.unique:
-            left_heavy.clear()  # the base has grown
+        if side.unique:
+            joined = spread_left_join(joined, side.df, keys, left_heavy[*keys], {}, policy)
+            continue
+        partners = side.df.groupBy(*keys).agg(_row_count())
+        joined = spread_left_join(joined, side.df, keys, left_heavy[*keys], heavy_keys(partners, keys, policy), policy)
+        times = F.coalesce("_times", F.lit(1.0))
+        matched = grown.join(partners.withColumnRenamed("_rows", "_times"), keys, "left")
+        grown = matched.withColumn("_rows", F.col("_rows") * times).drop("_times")
+        left_heavy.clear()  # the base has grown; count again
     return joined
+
+
+def _row_count() -> Column:
+    return F.count(F.lit(1)).cast("double").alias("_rows")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TASK_BYTES = 128 << 20  # shuffle data one task should handle; fits an executor core's share of memory with room to sort
 
@@ -62,3 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` from a table written to the shared folder: computed once, and not again if an executor is lost."""
+    path = fresh_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,6 +21,7 @@ from daymark.operators import (
     stack,
     union_distinct,
 )
+from daymark.operators.joins import largest_group
 from daymark.plans import run_file, run_template
 from daymark.queries import SNAPSHOT_SQL
 
@@ -210,6 +211,15 @@ def test_watched_chain_is_the_plain_chain(spark):
     assert rows_of(watched) == rows_of(plain)
 
 
+def test_largest_group_bounds_the_growth(spark):
+    base = spark.createDataFrame([("a", 1)] * 3 + [("b", 2)] + [(None, 3)] * 5, "k string, i int")
+    two = Side(spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int"), ["k"], ["k"])
+    one = Side(spark.createDataFrame([("a", 1)], "k string, w int"), ["k"], ["k"], unique=True)
+    assert largest_group(base, [one]) == 5  # rows without a key
+    assert largest_group(base, [two, one]) == 6
+    assert largest_group(base.limit(0), [one]) == 1
+
+
 def test_input_bytes_counts_files(spark, tmp_path):
     path = str(tmp_path / "numbers")
     spark.range(1000).write.parquet(path)
