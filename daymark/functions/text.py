@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from daymark import constants as C
 
+_REST = 2**31 - 1  # length that reaches the end of any string
+
 
 def entity_key(
     title_id: str = "title_id", season: str = "season_number", content_category: str = "content_category"
@@ -36,8 +38,10 @@ def initcap(column: str | Column, delimiters: str | None = None) -> Column:
         return F.initcap(text)
     ends = "".join(re.escape(c) for c in delimiters)
     pieces = F.regexp_extract_all(text, F.lit(f"[{ends}]|[^{ends}]+"), F.lit(0))
-    capitalised = F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 2**31 - 1))))
-    return F.array_join(capitalised, "")
+    words = F.transform(
+        pieces, lambda word: F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, _REST)))
+    )
+    return F.array_join(words, "")
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:

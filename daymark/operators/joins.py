@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, spread_left_join
+from daymark.operators.skew import SkewPolicy, Splits, heavy_keys, spread_left_join
 from daymark.session import stored
 
 
@@ -38,8 +38,8 @@ def join_sources(base: DataFrame, sides: Sequence[Side], skew: SkewPolicy | None
     is left to the planner, which broadcasts only sides it has measured to be small.
 
     Large inputs (see ``SkewPolicy``) are checked for heavy keys first. For that the base and the sides with several
-    rows per key, by then reduced to what the join needs, are stored, so that neither the check nor a lost executor makes
-    Spark scan the sources again. Joins are spread only if the check finds a key that could outgrow a task.
+    rows per key, by then reduced to what the join needs, are stored, so that neither the check nor a lost executor
+    makes Spark scan the sources again. Joins are spread only if the check finds a key that could outgrow a task.
     """
     policy = skew or SkewPolicy()
     taken = set(base.columns)
@@ -72,12 +72,14 @@ def _join_in_turn(base: DataFrame, sides: Sequence[Side]) -> DataFrame:
 def largest_group(base: DataFrame, sides: Sequence[Side]) -> float:
     """Upper bound of the rows that share a key at any point of the join.
 
-    One job over the keys alone: the largest group of the base under each set of keys, times the largest group of every
-    side that can multiply it. Rows with a NULL key are not multiplied. Keys are hashed; a collision only adds to a bound.
+    One job over the keys alone: the largest group of the base under each set of keys, times the largest group of each
+    side that can multiply it. Rows with a NULL key are not multiplied. Keys are hashed; a collision can only raise the
+    bound.
     """
     counted = []
     for keys in {tuple(side.left_keys) for side in sides}:
-        counted += [("base", base.dropna(subset=list(keys)), keys), ("unmatched", base.where(_any_null(keys)), keys)]
+        counted.append(("base", base.dropna(subset=list(keys)), keys))
+        counted.append(("unmatched", base.where(_any_null(keys)), keys))
     for number, side in enumerate(sides):
         if not side.unique:
             counted.append((f"side {number}", side.df, tuple(side.left_keys)))
@@ -86,7 +88,8 @@ def largest_group(base: DataFrame, sides: Sequence[Side]) -> float:
         for part, df, keys in counted
     ]
     groups = reduce(DataFrame.union, tagged).groupBy("_part", "_keys", "_key").count()
-    largest = {row["_part"]: float(row["rows"]) for row in groups.groupBy("_part").agg(F.max("count").alias("rows")).collect()}
+    maxima = groups.groupBy("_part").agg(F.max("count").alias("_rows")).collect()
+    largest = {row["_part"]: float(row["_rows"]) for row in maxima}
     multiplied = prod(max(1.0, rows) for part, rows in largest.items() if part != "unmatched")
     return max(multiplied, largest.get("unmatched", 0.0))
 
@@ -97,23 +100,23 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 def _join_spread(base: DataFrame, sides: Sequence[Side], policy: SkewPolicy) -> DataFrame:
     joined = base
-    # How many joined rows each combination of key values stands for so far; one row per combination, so no join of
-    # these counts can itself be unbalanced by a heavy key.
+    # How many joined rows each combination of key values stands for so far. There is one row per combination, so a
+    # heavy key does not unbalance the joins of these counts.
     grown = base.groupBy(*dict.fromkeys(key for side in sides for key in side.left_keys)).agg(_row_count())
-    left_heavy: dict[tuple, HeavyKeys] = {}
+    checked: dict[tuple, dict[tuple, Splits]] = {}
     for side in sides:
         keys = list(side.left_keys)
-        if tuple(keys) not in left_heavy:
-            left_heavy[*keys] = heavy_keys(grown.groupBy(*keys).agg(F.sum("_rows").alias("_rows")), keys, policy)
-        if side.unique:
-            joined = spread_left_join(joined, side.df, keys, left_heavy[*keys], {}, policy)
+        left_counts = grown.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
+        if side.unique:  # at most one partner per row: the left rows alone decide, and the counts stay as they are
+            if tuple(keys) not in checked:
+                checked[*keys] = heavy_keys(left_counts, left_counts.limit(0), keys, policy)
+            joined = spread_left_join(joined, side.df, keys, checked[*keys])
             continue
-        partners = side.df.groupBy(*keys).agg(_row_count())
-        joined = spread_left_join(joined, side.df, keys, left_heavy[*keys], heavy_keys(partners, keys, policy), policy)
-        times = F.coalesce("_times", F.lit(1.0))
-        matched = grown.join(partners.withColumnRenamed("_rows", "_times"), keys, "left")
-        grown = matched.withColumn("_rows", F.col("_rows") * times).drop("_times")
-        left_heavy.clear()  # the base has grown; count again
+        right_counts = side.df.groupBy(*keys).agg(_row_count())
+        joined = spread_left_join(joined, side.df, keys, heavy_keys(left_counts, right_counts, keys, policy))
+        matched = grown.join(right_counts.withColumnRenamed("_rows", "_times"), keys, "left")
+        grown = matched.withColumn("_rows", F.col("_rows") * F.coalesce("_times", F.lit(1.0))).drop("_times")
+        checked.clear()
     return joined
 
 

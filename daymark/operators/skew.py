@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
+from math import ceil, sqrt
 from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-HeavyKeys = Mapping[tuple, float]  # key values -> number of rows that share them
+
+class Splits(NamedTuple):
+    """Number of salts the rows of one key are dealt to."""
+
+    left: int
+    right: int
 
 
 @dataclass(frozen=True)
@@ -36,13 +42,30 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HeavyKeys:
-    """Keys that stand for more rows than one task may hold, from ``counts`` of one row per key with its ``_rows``.
+def heavy_keys(
+    left_counts: DataFrame, right_counts: DataFrame, keys: Sequence[str], policy: SkewPolicy
+) -> dict[tuple, Splits]:
+    """Keys whose rows on either side, or whose joined rows, are more than one task may hold, and how to split them.
 
-    No more than ``all rows / rows_per_task`` keys can pass the threshold, which bounds what comes to the driver.
+    Both inputs have one row per key with its number of rows, ``_rows``. No more keys can pass than the rows of both sides
+    and of the join divided by ``rows_per_task``, which bounds what comes to the driver.
     """
-    heavy = counts.where(F.col("_rows") > policy.rows_per_task)
-    return {tuple(row[k] for k in keys): float(row["_rows"]) for row in heavy.select(*keys, "_rows").collect()}
+    both = left_counts.withColumnRenamed("_rows", "_left").join(
+        right_counts.withColumnRenamed("_rows", "_right"), list(keys), "full"
+    )
+    left, right = F.coalesce("_left", F.lit(0.0)), F.coalesce("_right", F.lit(0.0))
+    heavy = both.where(F.greatest(left, right, left * right) > policy.rows_per_task)
+    rows = heavy.select(*keys, left.alias("_left"), right.alias("_right")).collect()
+    return {tuple(row[k] for k in keys): _splits(row["_left"], row["_right"], policy) for row in rows}
+
+
+def _splits(left_rows: float, right_rows: float, policy: SkewPolicy) -> Splits:
+    # Splitting one side repeats the other, so the larger side is split more: left/right = left_rows/right_rows is
+    # where the repeated rows are fewest. The right side is split only if it has many rows, hence some.
+    left_rows, right_rows = max(1.0, left_rows), max(1.0, right_rows)
+    tasks = left_rows * right_rows / policy.rows_per_task
+    left = min(ceil(tasks), max(1, round(sqrt(tasks * left_rows / right_rows))))
+    return Splits(left, ceil(tasks / left))
 
 
 def _look_up(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,46 +79,35 @@ def _look_up(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def spread_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_heavy: HeavyKeys,
-    right_heavy: HeavyKeys,
-    policy: SkewPolicy,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: Mapping[tuple, Splits]
 ) -> DataFrame:
     """``left.join(right, keys, 'left')`` with the rows of heavy keys dealt out over several tasks.
 
-    The rows of a heavy key are split over as many salts as their number asks for, and the partner's rows of that key
-    are repeated once per salt, so every pair still meets exactly once. Keys that are not heavy get salt 0 and one copy.
+    The rows of a heavy key are dealt to salts on both sides, and each side is repeated once per salt of the other, so
+    every pair still meets exactly once. Keys that are not heavy get salt 0 and one copy.
     """
-    if not left_heavy and not right_heavy:
+    if not heavy:
         return left.join(right, list(keys), "left")
-
-    def splits(rows: float) -> int:
-        return max(1, ceil(rows / policy.rows_per_task))
-
     fields = [StructField(k, left.schema[k].dataType) for k in keys]
     fields += [StructField(f"{side}_splits", IntegerType()) for side in ("_left", "_right")]
-    table = left.sparkSession.createDataFrame(
-        [
-            (*key, splits(left_heavy.get(key, 0)), splits(right_heavy.get(key, 0)))
-            for key in {*left_heavy, *right_heavy}
-        ],
-        StructType(fields),
-    )
+    rows = [(*key, splits.left, splits.right) for key, splits in heavy.items()]
+    table = left.sparkSession.createDataFrame(rows, StructType(fields))
     salts = ["_left_salt", "_right_salt"]
 
     def salted(df: DataFrame, own: str, partner: str) -> DataFrame:
         tagged = _look_up(df, table, keys)
         own_splits, copies = (F.coalesce(F.col(f"{side}_splits"), F.lit(1)) for side in (own, partner))
         return tagged.withColumns(
-            {f"{own}_salt": _salt(df.columns, own_splits), f"{partner}_salt": F.explode(F.sequence(F.lit(0), copies - 1))}
+            {
+                f"{own}_salt": _salt(df.columns, own_splits),
+                f"{partner}_salt": F.explode(F.sequence(F.lit(0), copies - 1)),
+            }
         )
 
     dealt = salted(left, "_left", "_right")
     partners = salted(right, "_right", "_left").drop("_left_splits", "_right_splits").withColumn("_met", F.lit(True))
     met = dealt.join(partners, [*keys, *salts], "left")
-    # A key split on the right does have partners; a salt that happens to hold none of them is no missing match.
+    # A key split on the right has partners; a salt that happens to hold none of them is no missing match.
     kept = met.where((F.coalesce(F.col("_right_splits"), F.lit(1)) == 1) | F.col("_met").isNotNull())
     return kept.select(*left.columns, *[c for c in right.columns if c not in keys])
 

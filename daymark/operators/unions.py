@@ -12,7 +12,7 @@ def stack(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFr
     top, bottom = first.select(*columns), second.select(*columns)
     for a, b in zip(top.schema, bottom.schema, strict=True):
         if a.dataType != b.dataType:
-            raise TypeError(f"column {a.name} is {a.dataType.simpleString()} above and {b.dataType.simpleString()} below")
+            raise TypeError(f"{a.name} is {a.dataType.simpleString()} above and {b.dataType.simpleString()} below")
     return top.unionByName(bottom)
 
 

@@ -15,9 +15,9 @@ from daymark.operators import (
     Side,
     SkewPolicy,
     distinct_rows,
+    join_sources,
     labelled_sum,
     latest_per_key,
-    join_sources,
     snapshot_at,
     stack,
 )
@@ -79,22 +79,24 @@ def launched(
 ) -> DataFrame:
     """Launched titles, each row once: the measured value if there is one, else the forecast.
 
-    The label of the 28-day values follows the view metric. A season with actual and forecast 90-day figures has two rows.
+    The label of the 28-day values follows the view metric. A season with actual and forecast 90-day figures has two
+    rows.
     """
     # Copies of a measured value would only multiply rows that the result holds once, so they go before the join.
+    actives = measured_active(tables, horizon).drop("phase").withColumnRenamed("activepct", "active_measured")
+    views = measured_view(tables, horizon).withColumnsRenamed({"viewpct": "view_measured", "phase": "phase_measured"})
+    active_forecast = forecast_launched(tables.active_forecast, "active_forecast", horizon).drop("phase")
+    view_forecast = forecast_launched(tables.view_forecast, "view_forecast", horizon)
+    sums = views_launched(tables).drop("title_name", "finished_window_flag").withColumnRenamed("phase", "phase_90d")
+    by_season = ["title_id", "season_number"]
     joined = join_sources(
         base_entities(tables.entity_base),
         [
-            Side(measured_active(tables, horizon).drop("phase").withColumnRenamed("activepct", "active_measured").distinct(),
-                 ["match_id"], ["match_id"]),
-            Side(_renamed(measured_view(tables, horizon), viewpct="view_measured", phase="phase_measured").distinct(),
-                 ["match_id"], ["match_id"]),
-            Side(forecast_launched(tables.active_forecast, "active_forecast", horizon).drop("phase"),
-                 ["match_id"], ["match_id"], unique=True),
-            Side(_renamed(forecast_launched(tables.view_forecast, "view_forecast", horizon), phase="phase_forecast"),
-                 ["match_id"], ["match_id"], unique=True),
-            Side(views_launched(tables).select("title_id", "season_number", "firstview_90d", F.col("phase").alias("phase_90d")),
-                 ["title_id", "season_number"], ["title_id", "season_number"]),
+            Side(actives.distinct(), ["match_id"], ["match_id"]),
+            Side(views.distinct(), ["match_id"], ["match_id"]),
+            Side(active_forecast, ["match_id"], ["match_id"], unique=True),
+            Side(view_forecast.withColumnRenamed("phase", "phase_forecast"), ["match_id"], ["match_id"], unique=True),
+            Side(sums, by_season, by_season),
         ],
         skew,
     )
@@ -107,7 +109,7 @@ def launched(
             f"phase_{horizon}d": F.coalesce("phase_measured", "phase_forecast"),
         }
     )
-    # The rows already lie together by keys that are part of the result, so shuffled plans need no further exchange here.
+    # Shuffled plans need no exchange here: the rows already lie together by keys that are part of the result.
     return rows.select(*result_columns(horizon)).distinct()
 
 
@@ -158,15 +160,15 @@ def future(
     tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = None, skew: SkewPolicy | None = None
 ) -> DataFrame:
     """Future titles, each row once, joined to their forecasts by the suffixed name as stored."""
+    active = active_future(tables, horizon).withColumnRenamed("phase", "phase_active")
+    # One row per value: the join otherwise repeats a title's rows once per key that forecasts the same value, which
+    # grows with the square of the keys per title.
+    view = view_future(tables, horizon, dated=False).select("title_name", "viewpct").distinct()
     joined = join_sources(
         views_future(tables),
         [
-            Side(_renamed(active_future(tables, horizon), phase="phase_active"),
-                 ["title_name_season"], ["title_name"], unique=True),
-            # One row per value: the join otherwise repeats a title's rows once per key that forecasts the same value,
-            # which grows with the square of the keys per title.
-            Side(view_future(tables, horizon, dated=False).select("title_name", "viewpct").distinct(),
-                 ["title_name_season"], ["title_name"]),
+            Side(active, ["title_name_season"], ["title_name"], unique=True),
+            Side(view, ["title_name_season"], ["title_name"]),
         ],
         skew,
     )
@@ -207,7 +209,3 @@ def build_endpoint(
         future(tables, horizon, title_delimiters, skew),
         result_columns(horizon),
     )
-
-
-def _renamed(df: DataFrame, **names: str) -> DataFrame:
-    return df.withColumnsRenamed(names)

@@ -41,7 +41,8 @@ def entity_keys(t: Tables) -> DataFrame:
 
 
 def title_season_names(t: Tables) -> DataFrame:
-    return t.entity_base.select("title_id", "title_name", "season_number", title_season_name().alias("title_name_season"))
+    name = title_season_name().alias("title_name_season")
+    return t.entity_base.select("title_id", "title_name", "season_number", name)
 
 
 def concat_null_propagation(t: Tables) -> DataFrame:
@@ -85,11 +86,13 @@ def left_join_measured_view(t: Tables) -> DataFrame:
 
 
 def left_join_forecast_active(t: Tables) -> DataFrame:
-    return join_sources(_base(t), [Side(stages.forecast_launched(t.active_forecast, "activepct"), *ON_KEY, unique=True)])
+    forecast = stages.forecast_launched(t.active_forecast, "activepct")
+    return join_sources(_base(t), [Side(forecast, *ON_KEY, unique=True)])
 
 
 def left_join_forecast_view(t: Tables) -> DataFrame:
-    return join_sources(_base(t), [Side(stages.forecast_launched(t.view_forecast, "viewpct"), *ON_KEY, unique=True)])
+    forecast = stages.forecast_launched(t.view_forecast, "viewpct")
+    return join_sources(_base(t), [Side(forecast, *ON_KEY, unique=True)])
 
 
 def left_join_composite_key(t: Tables) -> DataFrame:
@@ -120,7 +123,7 @@ def coalesce_measured_forecast(t: Tables) -> DataFrame:
     )
 
 
-# --- union, sort, sinks, templates -------------------------------------------------------------------------------------
+# --- union, sort, sinks, templates -----------------------------------------------------------------------------------
 
 
 def union_distinct_null_padded(t: Tables) -> DataFrame:

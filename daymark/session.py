@@ -21,8 +21,8 @@ def local_session(name: str = "daymark", cores: str | int = "*") -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
-        # The endpoint alone needs more generated classes than the default cache of 100 holds; compiling them anew on every
-        # run costs more than the work itself when a session runs many queries.
+        # The endpoint alone needs more generated classes than the default cache of 100 holds; compiling them anew on
+        # every run costs more than the work itself when a session runs many queries.
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
@@ -44,7 +44,7 @@ def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or set on the context; a local session without one gets a new one."""
+    """The folder named by ``spark.checkpoint.dir`` or set on the context; only a local session may do without."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
@@ -65,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` from a table written to the shared folder: computed once, and not again if an executor is lost."""
+    """The rows of ``df`` from a table written to the shared folder: computed once, also if an executor is lost."""
     path = fresh_folder(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

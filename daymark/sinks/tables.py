@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 def by_start_date(df: DataFrame) -> DataFrame:
     """Rows by start date, rows without one last.
 
-    The other columns only settle ties: Spark cuts a sort into ranges of the sort key, and with the date alone all rows of
-    a frequent date (or of none) would fall into one range and so into one task.
+    The other columns only settle ties: Spark cuts a sort into ranges of the sort key, and with the date alone all rows
+    of a frequent date (or of none) would fall into one range and so into one task.
     """
     rest = [F.asc_nulls_last(c) for c in df.columns if c != "effective_start_date"]
     return df.orderBy(F.asc_nulls_last("effective_start_date"), *rest)
@@ -24,7 +24,7 @@ def replace_table(
 ) -> None:
     """Replace a table of the session catalog (managed, or stored at ``path``) by the rows of ``df``.
 
-    ``df`` must not read the table it replaces, and readers can notice the switch; ``publish_version`` has neither limit.
+    ``df`` must not read the table it replaces, and readers may see it missing; ``publish_version`` has neither limit.
     """
     rows = df if sort is None else df.orderBy(*sort)
     writer = rows.write.mode("overwrite").format("parquet")
@@ -40,5 +40,6 @@ def publish_version(df: DataFrame, root: str, view: str) -> str:
     """
     path = f"{root}/{view}/version={uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(f'`{c}`' for c in df.columns)} FROM parquet.`{path}`")
+    columns = ", ".join(f"`{column}`" for column in df.columns)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{path}`")
     return path

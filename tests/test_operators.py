@@ -164,15 +164,24 @@ def skewed(spark, left_hot, right_hot):
 def test_spread_left_join_is_the_left_join(spark, left_hot, right_hot):
     left, right = skewed(spark, left_hot, right_hot)
     policy = SkewPolicy(rows_per_task=5)
-    left_heavy = heavy_keys(counted(left), ["k"], policy)
-    right_heavy = heavy_keys(counted(right.dropna()), ["k"], policy)
-    assert set(left_heavy) == {(k,) for k in left_hot}
-    assert set(right_heavy) == {(k,) for k in right_hot}
-    spread = spread_left_join(left, right, ["k"], left_heavy, right_heavy, policy)
+    heavy = heavy_keys(counted(left), counted(right.dropna()), ["k"], policy)
+    assert set(heavy) == {(k,) for k in {*left_hot, *right_hot}}
+    spread = spread_left_join(left, right, ["k"], heavy)
     assert spread.columns == ["k", "s", "i", "v"]
     assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
 
 
+def test_both_sides_of_a_heavy_key_are_split(spark):
+    """Neither side is heavy alone, their pairs are."""
+    left = spark.range(60).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    right = spark.range(40).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+    heavy = heavy_keys(counted(left), counted(right), ["k"], SkewPolicy(rows_per_task=100))
+    splits = heavy[(1,)]
+    assert splits.left > 1 and splits.right > 1 and splits.left * splits.right >= 24
+    spread = spread_left_join(left, right, ["k"], heavy)
+    assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
+
+
 def test_spread_left_join_keeps_a_heavy_key_from_one_task(spark):
     """No task may get much more than the limit, whichever side is heavy."""
     policy = SkewPolicy(rows_per_task=200)
@@ -182,8 +191,7 @@ def test_spread_left_join_keeps_a_heavy_key_from_one_task(spark):
         heavy = spark.range(6000).select(F.lit(7).alias("k"), F.col("id").alias("n")).repartition(6)
         light = spark.createDataFrame([(7, "x"), (8, "y")], "k int, t string")
         for left, right in [(heavy, light), (light, heavy)]:
-            heavy_counts = [heavy_keys(counted(side), ["k"], policy) for side in (left, right)]
-            spread = spread_left_join(left, right, ["k"], *heavy_counts, policy)
+            spread = spread_left_join(left, right, ["k"], heavy_keys(counted(left), counted(right), ["k"], policy))
             rows = spread.groupBy(F.spark_partition_id().alias("task")).count().collect()
             assert sum(row["count"] for row in rows) == (6000 if left is heavy else 6001)
             assert max(row["count"] for row in rows) < 6000 / 2
