@@ -13,6 +13,7 @@ from tests.plans import settings
 
 FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 TABLES = ["part", "lineitem"]
+TYPES = {"VARCHAR": "string", "DOUBLE": "double", "INTEGER": "int", "BIGINT": "bigint", "DATE": "date"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDERS[0]), reason="test tables are not here")
 
@@ -56,6 +57,8 @@ def test_query_equals_sql(spark, duck, folder, name):
     expected_columns = [column[0] for column in cursor.description]
     expected = cursor.fetchall()
     assert sorted(result.columns) == sorted(expected_columns)
+    types = {column[0]: TYPES[str(column[1])] for column in cursor.description}
+    assert {field.name: field.dataType.simpleString() for field in result.schema} == types
     assert rows, "a query that returns nothing proves nothing"
     assert as_rows(result.columns, rows) == as_rows(expected_columns, expected)
 
