@@ -56,7 +56,7 @@ def join_sources(base: DataFrame, sides: Sequence[Side], skew: SkewPolicy | None
 
     frames = [base, *[side.df.dropna(subset=list(side.left_keys)) for side in multiple]]
     with ThreadPoolExecutor(len(frames)) as pool:  # independent jobs; the cluster runs them side by side
-        base, *tables = pool.map(inheritable_thread_target(stored), frames)
+        base, *tables = pool.map(inheritable_thread_target(base.sparkSession)(stored), frames)
     replaced = iter(tables)
     sides = [side if side.unique else side._replace(df=next(replaced)) for side in sides]
     if largest_group(base, sides) <= policy.rows_per_task:

@@ -233,6 +233,7 @@ def test_random_inputs(spark, tmp_path, seed, skew):
     expected = restated(inputs)
     assert len(rows) == len(set(rows)), "the endpoint holds a row twice"
     assert set(rows) == expected
+    assert future(tables).where("title_id IS NOT NULL OR match_id IS NOT NULL").isEmpty()
     if skew is None:
         generic = rows_of(union_distinct(launched(tables), future(tables), RESULT_SCHEMA.names))
         assert len(generic) == len(rows) and set(generic) == expected

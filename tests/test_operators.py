@@ -24,6 +24,7 @@ from daymark.operators import (
 from daymark.operators.joins import largest_group
 from daymark.plans import run_file, run_template
 from daymark.queries import SNAPSHOT_SQL
+from tests.plans import plan_of
 
 
 def rows_of(df):
@@ -149,7 +150,7 @@ def skewed(spark, left_hot, right_hot):
     """Keys 0 to 9; ``left_hot`` and ``right_hot`` name keys with many rows, among them copies."""
     left = [(k, None, i) for k in [*range(10), None] for i in range(40 if k in left_hot else 2)]
     left += [(k, 1, 0) for k in left_hot] * 25
-    right = [(k, i % 7) for k in range(0, 10, 2) for i in range(30 if k in right_hot else 1)]
+    right = [(k, i % 7) for k in range(0, 14, 2) for i in range(30 if k in right_hot else 1)]
     right += [(None, 99)] * 20
     return (
         spark.createDataFrame(left, "k int, s int, i int").repartition(4),
@@ -159,7 +160,7 @@ def skewed(spark, left_hot, right_hot):
 
 @pytest.mark.parametrize(
     "left_hot, right_hot",
-    [((), ()), ((4,), ()), ((3, None), ()), ((), (4,)), ((4, 3), (4, 6)), ((None,), (2,))],
+    [((), ()), ((4,), ()), ((3, None), ()), ((), (4,)), ((4, 3), (4, 6)), ((None,), (2,)), ((1,), (12,))],
 )
 def test_spread_left_join_is_the_left_join(spark, left_hot, right_hot):
     left, right = skewed(spark, left_hot, right_hot)
@@ -169,6 +170,7 @@ def test_spread_left_join_is_the_left_join(spark, left_hot, right_hot):
     spread = spread_left_join(left, right, ["k"], heavy)
     assert spread.columns == ["k", "s", "i", "v"]
     assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
+    assert "NestedLoop" not in plan_of(spread) and "Cartesian" not in plan_of(spread)
 
 
 def test_both_sides_of_a_heavy_key_are_split(spark):
