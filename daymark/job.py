@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 
 from pyspark.sql import SparkSession
 
@@ -30,10 +31,12 @@ def main(argv: list[str] | None = None) -> str:
     size = sum(input_bytes(getattr(tables, name)) for name in SCHEMAS)
     for setting, value in shuffle_settings(size, spark.sparkContext.defaultParallelism).items():
         spark.conf.set(setting, value)
+    started = time.monotonic()
     path = publish_version(by_start_date(build_endpoint(tables)), chosen.root, chosen.view)
-    logging.getLogger(__name__).info("published %s", path)
+    logging.getLogger(__name__).info("published %s after %.1f seconds", path, time.monotonic() - started)
     return path
 
 
 if __name__ == "__main__":
+    logging.basicConfig(level=logging.INFO)
     main()

@@ -7,7 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-TASK_BYTES = 128 << 20  # shuffle data one task should handle; fits an executor core's share of memory with room to sort
+TASK_BYTES = 128 << 20  # data one task should handle; fits an executor core's share of memory with room to sort
+MAX_SCAN_TASKS = 100_000
+MAX_PARTITIONS = 20_000
 
 
 def local_session(name: str = "daymark", cores: str | int = "*") -> SparkSession:
@@ -29,17 +31,20 @@ def local_session(name: str = "daymark", cores: str | int = "*") -> SparkSession
 
 
 def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
-    """Settings for a job over ``input_bytes`` of files: enough partitions that none has to spill much.
+    """Settings for a job over ``input_bytes`` of files: tasks small enough to sort in memory, but not too many of them.
 
-    AQE merges partitions that turn out small and splits skewed ones, so the number only has to be large enough.
+    Every map task writes a block for every shuffle partition, so both numbers are held down for very large inputs.
+    AQE merges partitions that turn out small and splits skewed ones.
     """
-    partitions = max(2 * cores, -(-input_bytes // TASK_BYTES))
+    partitions = max(2 * cores, min(-(-input_bytes // TASK_BYTES), MAX_PARTITIONS))
+    split = max(TASK_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
     }
 
 

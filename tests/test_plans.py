@@ -9,7 +9,7 @@ from daymark.operators import latest_per_key, union_distinct
 from daymark.plans import build_endpoint, future, launched
 from daymark.plans import endpoint as stages
 from daymark.sinks import by_start_date
-from daymark.sources import RESULT_SCHEMA, from_parquet
+from daymark.sources import RESULT_SCHEMA, conform, from_parquet
 from tests import golden
 from tests.plans import count, plan_of, scans, settings, shuffled_plan
 
@@ -91,6 +91,19 @@ def test_sums_and_distinct_combine_before_the_shuffle(spark, tables):
     assert count(distinct, "HashAggregate") == 2 and count(distinct, "Exchange hashpartitioning") == 1
 
 
+def test_inputs_bucketed_by_the_join_key_are_not_shuffled(spark, tables, tmp_path):
+    name = "bucketed_forecast"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = tables.active_forecast.write.bucketBy(4, "match_id").option("path", str(tmp_path / name))
+    writer.saveAsTable(name)
+    try:
+        bucketed = conform(spark.table(name), "active_forecast")
+        plan = shuffled_plan(lambda: stages.forecast_launched(bucketed, "activepct"), spark)
+        assert "Exchange" not in plan and "WindowGroupLimit" in plan
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_tie_breakers_are_required(tables):
     with pytest.raises(ValueError):
         latest_per_key(tables.active_forecast, ["match_id"], "pred_day", [])

@@ -115,9 +115,10 @@ def test_job(spark, tmp_path):
 
 
 def test_shuffle_settings_grow_with_the_input():
-    small, large = shuffle_settings(10 << 20, 8), shuffle_settings(100 << 40, 8000)
-    assert small["spark.sql.shuffle.partitions"] == "16"
-    assert int(large["spark.sql.shuffle.partitions"]) == 100_000
+    small, middle, large = (shuffle_settings(n, c) for n, c in [(10 << 20, 8), (1 << 40, 800), (100 << 40, 8000)])
+    partitions, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    assert [int(s[partitions]) for s in (small, middle, large)] == [16, 8192, 20_000]
+    assert [int(s[split]) >> 20 for s in (small, middle, large)] == [128, 128, 1048]
 
 
 def test_shared_folder_is_the_one_the_session_names():
