@@ -105,7 +105,7 @@ def left_join_future_active(t: Tables) -> DataFrame:
 
 def left_join_future_fanout(t: Tables) -> DataFrame:
     """Equal rows of the fan-out come as one row with their number, ``n_rows``, instead of being written out."""
-    values = stages.view_future(t).groupBy("title_name", "viewpct").agg(F.count(F.lit(1)).alias("n_rows"))
+    values = stages.view_future(t, dated=False).groupBy("title_name", "viewpct").agg(F.count(F.lit(1)).alias("n_rows"))
     joined = join_sources(stages.views_future(t), [Side(values, *ON_TITLE)])
     return joined.withColumn("n_rows", F.coalesce("n_rows", F.lit(1).cast("bigint")))
 
