@@ -33,6 +33,24 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM documents JOIN parts ON id = doc_id LEFT JOIN sizes USING (doc_id)
 """
 
+OP6 = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place
+    FROM windows JOIN firsts USING (s) WHERE first_id < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS rest, count(*) AS n
+    FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_minmax": OP2}
+    return {"op2_minmax": OP2, "op6_seeds": OP6}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import minhash
+from daymark.llm import minhash, substrings
 from daymark.llm.common import table
 
 
@@ -14,5 +14,9 @@ def op2_minmax(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.removal_report(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_minmax": op2_minmax}
+    return {"op2_minmax": op2_minmax, "op6_seeds": op6_seeds}
