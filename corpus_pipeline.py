@@ -6,16 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import minhash
+from daymark.llm import minhash, mixing, packing, substrings, toxicity
+from daymark.llm.common import table
 from daymark.session import fresh_folder
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents go. The model is fitted to the labelled rows of the tables."""
+    model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that reach each other by near copies the one with the smallest id stays."""
     return minhash.one_of_each_group(docs)
 
 
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document with a smaller id holds are cut; every row stays, if only with an empty text."""
+    return substrings.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences, with the CRC-32 of their ids."""
+    return packing.packing_report(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("near_copies", drop_near_copies),
+    ("repeats", cut_repeats),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
 # The verdicts of a trained model cannot be written in SQL; tests/llm holds the stages against plain versions.
@@ -24,7 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = fresh_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 # A word is a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
 # ``bytes.split()`` without arguments splits at exactly these six.
 WORD = r"[^\x20\x09-\x0D]+"
-MAX_CACHED_WORDS = 300_000  # per Python worker; a cache that reaches it starts again
+MAX_CACHED_WORDS = 200_000  # per Python worker; twice as many for a moment
 
 
 def table(spark, folder: str, name: str) -> DataFrame:
@@ -46,18 +46,30 @@ def map_batches(
 
 
 class Cache(dict):
-    """Function of a word, remembered for up to ``MAX_CACHED_WORDS`` words."""
+    """Function of a word, remembered for the last ``limit`` to ``2 * limit`` different words."""
 
     def __init__(self, function: Callable[[Any], Any], limit: int = MAX_CACHED_WORDS):
         super().__init__()
-        self._function, self._limit = function, limit
+        self._function, self._limit, self._older = function, limit, {}
 
     def __missing__(self, word: Any) -> Any:
+        value = self._older.get(word)
+        return self.learn(word, self._function(word) if value is None else value)
+
+    def learn(self, word: Any, value: Any) -> Any:
         if len(self) >= self._limit:
+            self._older = dict(self)
             self.clear()
-        value = self[word] = self._function(word)
+        self[word] = value
         return value
 
+    def unknown(self, words: Iterable[Any]) -> list[Any]:
+        """The different words without a value, and those about to be forgotten are kept."""
+        new = {word for word in words if word not in self}
+        for word in new & self._older.keys():
+            self.learn(word, self._older[word])
+        return [word for word in new if word not in self]
+
 
 _word_hash = Cache(xxhash.xxh3_64_intdigest)
 

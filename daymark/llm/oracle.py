@@ -51,6 +51,39 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+OP1 = r"""
+WITH sized AS (
+    SELECT doc_id, coalesce('0' || source, '1') AS source,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+    FROM documents),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size) AS most,
+           [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY encode(source)) - 1) % 3 + 1]::DOUBLE AS weight
+    FROM sized GROUP BY source),
+-- Sources in the order in which a rising level limits them, and the level that results if the first ones are limited.
+filled AS (
+    SELECT *, row_number() OVER o AS i,
+           coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+           sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+    FROM sources WINDOW o AS (ORDER BY most / weight, source)),
+levels AS (
+    SELECT *, (1.5::DOUBLE * (SELECT sum(size) FROM sized) - given) / free AS level FROM filled),
+level AS (SELECT level FROM levels WHERE most >= weight * level ORDER BY i LIMIT 1),
+targets AS (
+    SELECT source, source_size, least(most, weight * (SELECT level FROM level)) AS target,
+           ('0x' || left(md5(source || '/17'), 6))::BIGINT AS offset_units
+    FROM sources),
+steps AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size * 16777216)::BIGINT ELSE 0 END AS step
+    FROM sized JOIN targets USING (source)),
+summed AS (
+    SELECT *, offset_units + step * (row_number() OVER (PARTITION BY source ORDER BY size, doc_id) - 1) AS start
+    FROM steps)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (((start + step) >> 24) - (start >> 24)))::BIGINT AS taken
+FROM summed
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_minmax": OP2, "op6_seeds": OP6}
+    return {"op1_systematic": OP1, "op2_minmax": OP2, "op6_seeds": OP6}

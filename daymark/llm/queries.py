@@ -6,17 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import minhash, substrings
+from daymark.llm import minhash, mixing, packing, substrings, toxicity
 from daymark.llm.common import table
 
 
+def op1_systematic(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_report(table(spark, folder, "documents"))
+
+
 def op2_minmax(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_ordinal(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
 
 
+def op10_concatenate(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packing_report(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_minmax": op2_minmax, "op6_seeds": op6_seeds}
+    return {
+        "op1_systematic": op1_systematic,
+        "op2_minmax": op2_minmax,
+        "op3_ordinal": op3_ordinal,
+        "op6_seeds": op6_seeds,
+        "op10_concatenate": op10_concatenate,
+    }
