@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import minhash, mixing, packing, substrings, toxicity
+from daymark.llm import minhash, mixing, packing, substrings, tokens, toxicity
 from daymark.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
 
 
+def op9_rank_synchronous(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.counted(table(spark, folder, "documents"))
+
+
 def op10_concatenate(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_report(table(spark, folder, "documents"))
 
@@ -37,5 +41,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_minmax": op2_minmax,
         "op3_ordinal": op3_ordinal,
         "op6_seeds": op6_seeds,
+        "op9_rank_synchronous": op9_rank_synchronous,
         "op10_concatenate": op10_concatenate,
     }
