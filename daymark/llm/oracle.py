@@ -84,6 +84,22 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM summed
 """
 
+OP8 = rf"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b
+    FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+{_REACH},
+counts AS (SELECT a AS id, count(*) AS n FROM ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN parts ON parts.id = vec_id LEFT JOIN counts ON counts.id = vec_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_systematic": OP1, "op2_minmax": OP2, "op6_seeds": OP6}
+    return {"op1_systematic": OP1, "op8_multi_index": OP8, "op2_minmax": OP2, "op6_seeds": OP6}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import minhash, mixing, packing, substrings, tokens, toxicity
+from daymark.llm import minhash, mixing, packing, substrings, tokens, toxicity, vectors
 from daymark.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
 
 
+def op8_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op9_rank_synchronous(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.counted(table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_minmax": op2_minmax,
         "op3_ordinal": op3_ordinal,
         "op6_seeds": op6_seeds,
+        "op8_multi_index": op8_multi_index,
         "op9_rank_synchronous": op9_rank_synchronous,
         "op10_concatenate": op10_concatenate,
     }
