@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import minhash, mixing, packing, substrings, tokens, toxicity, vectors
+from daymark.llm import languages, minhash, mixing, packing, substrings, tokens, toxicity, vectors
 from daymark.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op3_ordinal(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op4_bidirectional(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return languages.predicted(docs, languages.fit(docs))
+
+
 def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
 
@@ -44,6 +49,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_systematic": op1_systematic,
         "op2_minmax": op2_minmax,
         "op3_ordinal": op3_ordinal,
+        "op4_bidirectional": op4_bidirectional,
         "op6_seeds": op6_seeds,
         "op8_multi_index": op8_multi_index,
         "op9_rank_synchronous": op9_rank_synchronous,
