@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import languages, minhash, mixing, packing, substrings, tokens, toxicity, vectors
+from daymark.llm import languages, minhash, mixing, packing, quality, substrings, tokens, toxicity, vectors
 from daymark.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
 
 
+def op7_random_field(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judged(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op8_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -51,6 +56,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ordinal": op3_ordinal,
         "op4_bidirectional": op4_bidirectional,
         "op6_seeds": op6_seeds,
+        "op7_random_field": op7_random_field,
         "op8_multi_index": op8_multi_index,
         "op9_rank_synchronous": op9_rank_synchronous,
         "op10_concatenate": op10_concatenate,
