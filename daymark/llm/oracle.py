@@ -100,6 +100,28 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN parts ON parts.id = vec_id LEFT JOIN counts ON counts.id = vec_id
 """
 
+OP5 = r"""
+WITH lists AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM lists),
+pairs AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM words),
+alone AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+together AS (SELECT before, word, count(*) AS n FROM pairs WHERE before IS NOT NULL GROUP BY ALL),
+terms AS (
+    SELECT doc_id, CASE
+        WHEN pairs.before IS NULL THEN ln(alone.n / (SELECT count(*) FROM words))
+        WHEN together.n >= 2 THEN ln(together.n / earlier.n)
+        ELSE ln(0.4::DOUBLE * alone.n / (SELECT count(*) FROM words)) END AS term
+    FROM pairs JOIN alone USING (word) LEFT JOIN alone earlier ON earlier.word = before
+         LEFT JOIN together ON together.before = pairs.before AND together.word = pairs.word),
+sums AS (SELECT doc_id, sum(round(term * 1000000)::BIGINT)::BIGINT AS log_score FROM terms GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(log_score, 0) AS log_score,
+       CASE WHEN len(w) > 0 THEN log_score / len(w) / 1000000.0::DOUBLE END AS mean_log_score
+FROM lists LEFT JOIN sums USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_systematic": OP1, "op8_multi_index": OP8, "op2_minmax": OP2, "op6_seeds": OP6}
+    return {"op1_systematic": OP1, "op5_backoff": OP5, "op8_multi_index": OP8, "op2_minmax": OP2, "op6_seeds": OP6}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import languages, minhash, mixing, packing, quality, substrings, tokens, toxicity, vectors
+from daymark.llm import language_model, languages, minhash, mixing, packing, quality, substrings, tokens, toxicity, vectors
 from daymark.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_bidirectional(spark: SparkSession, folder: str) -> DataFrame:
     return languages.predicted(docs, languages.fit(docs))
 
 
+def op5_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.scored(table(spark, folder, "documents"))
+
+
 def op6_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
 
@@ -55,6 +59,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_minmax": op2_minmax,
         "op3_ordinal": op3_ordinal,
         "op4_bidirectional": op4_bidirectional,
+        "op5_backoff": op5_backoff,
         "op6_seeds": op6_seeds,
         "op7_random_field": op7_random_field,
         "op8_multi_index": op8_multi_index,
