@@ -20,17 +20,26 @@ class MinMax(NamedTuple):
 
     Each permutation of the hash values gives two signature values, its minimum and its maximum, so that
     ``bands * rows`` values take half as many permutations. At 0.85 a pair is missed once in two million.
+
+    Members of a bucket that its smallest id does not link are compared by a longer signature first, ``sketch`` values of
+    one byte; pairs more than ``margin`` standard deviations below the threshold (one in three million at it) are left
+    out. ``block``: members of a bucket that meet in one task at a time.
     """
 
     shingle_words: int = 5
     per_cent: int = 85
     bands: int = 25
     rows: int = 5
+    sketch: int = 1024
+    margin: float = 5.0
+    block: int = 2048
     seed: int = 1
 
     @property
-    def permutations(self) -> int:
-        return -(-self.bands * self.rows // 2)
+    def least_equal(self) -> int:
+        """Values of two sketches that must be equal."""
+        wanted = self.per_cent / 100
+        return int(self.sketch * wanted - self.margin * (self.sketch * wanted * (1 - wanted)) ** 0.5)
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -47,16 +56,21 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     return np.unique(gram_hashes(hashes, min(size, len(hashes))))
 
 
-def signature(shingles: np.ndarray, how: MinMax) -> np.ndarray:
-    """One hash per band of the minima and maxima under all permutations of the 64-bit integers."""
-    factors = _odd_constants(how.permutations, how.seed)
-    shifts = _odd_constants(how.permutations, how.seed + 1)
-    low = np.full(how.permutations, np.iinfo(np.uint64).max)
-    high = np.zeros(how.permutations, np.uint64)
-    for start in range(0, len(shingles), 4096):
-        values = shingles[start : start + 4096, None] * factors + shifts
+def extremes(shingles: np.ndarray, count: int, seed: int) -> np.ndarray:
+    """The minima and maxima of the set under ``count / 2`` permutations of the 64-bit integers, in turn."""
+    size = -(-count // 2)
+    factors, shifts = _odd_constants(size, seed), _odd_constants(size, seed + 1)
+    low, high = np.full(size, np.iinfo(np.uint64).max), np.zeros(size, np.uint64)
+    step = max(1, (1 << 18) // size)
+    for start in range(0, len(shingles), step):
+        values = shingles[start : start + step, None] * factors + shifts
         low, high = np.minimum(low, values.min(0)), np.maximum(high, values.max(0))
-    values = np.stack([low, high], 1).ravel()[: how.bands * how.rows].reshape(how.bands, how.rows)
+    return np.stack([low, high], 1).ravel()[:count]
+
+
+def signature(shingles: np.ndarray, how: MinMax) -> np.ndarray:
+    """One hash per band."""
+    values = extremes(shingles, how.bands * how.rows, how.seed).reshape(how.bands, how.rows)
     places = _odd_constants(how.rows, how.seed + 2)
     return mix((values * places).sum(1, dtype=np.uint64) + np.arange(how.bands, dtype=np.uint64))
 
@@ -110,9 +124,10 @@ def near_duplicates(docs: DataFrame, how: MinMax = MinMax()) -> DataFrame:
     smallest id that can be reached by links, and that document is the one kept.
 
     - Equal sets form a class before anything else; one document stands for it from then on.
-    - Documents that share a band are a bucket. All members are compared with the bucket's smallest id. Only where that
-      leaves a bucket in several components, members of different components are compared as well, none of them twice.
-      A group of near copies therefore costs a few comparisons per member, and no link between components is lost.
+    - Documents that share a band are a bucket. All members are compared with the bucket's smallest id.
+    - Only where that leaves a bucket in several components, members of different components whose longer signatures
+      agree enough are compared as well, the most similar ones first. A group of near copies therefore costs a few
+      comparisons per member, and links between components are found.
     - Every comparison is of the full sets.
 
     Texts without words (also NULL) have no shingles and are linked with nothing. Documents without an id are linked
@@ -143,11 +158,14 @@ def near_duplicates(docs: DataFrame, how: MinMax = MinMax()) -> DataFrame:
     ids = stored(buckets.select("doc_id").distinct())
     texts = stored(docs.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", "text"))
     links = compare(stars, texts, how)
-    found = components(links.where("linked"))
+    found = stored(components(links.where("linked")))
 
-    rest = _between_components(buckets, stored(found), links, how)
-    linked = links.where("linked").union(compare(rest, texts, how).where("linked"))
-    found = stored(components(linked))
+    # What the smallest id of a bucket leaves apart: the most similar members first, then all that could be linked.
+    sketches = stored(map_batches(_apart(buckets, found, texts), _sketch(how), "doc_id bigint, sketch binary"))
+    for top in (2, None):
+        rest = stored(_between_components(buckets, found, links, sketches, how, top))
+        links = stored(links.union(compare(rest, texts, how)))
+        found = stored(components(links.where("linked")))
 
     class_of = classes.join(found.withColumnRenamed("id", "first_id"), "first_id", "left").select(
         "set_high", "set_low", F.coalesce("component", "first_id").alias("component")
@@ -165,24 +183,101 @@ def _may_link(other: str, how: MinMax):
     return 100 * F.least("n_shingles", other) >= how.per_cent * F.greatest("n_shingles", other)
 
 
-def _between_components(buckets: DataFrame, found: DataFrame, known: DataFrame, how: MinMax) -> DataFrame:
-    """Pairs that share a bucket but no component and were not compared: members of all components but the bucket's
-    largest, with the members of the others."""
+def _apart(buckets: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts of the members of buckets with several components."""
     rows = buckets.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
-    split = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    split = split.groupBy("band").agg(F.max_by("component", "n").alias("largest"), F.count(F.lit(1)).alias("parts"))
-    rows = stored(rows.join(stored(split.where("parts > 1")), "band"))
-    minor = rows.where("component != largest").toDF(*[f"_{c}" if c != "band" else c for c in rows.columns])
-    met = minor.join(rows, "band").where(
-        (F.col("_component") != F.col("component"))
-        & ((F.col("component") == F.col("largest")) | (F.col("_doc_id") < F.col("doc_id")))
-        & (F.col("_doc_id") != F.col("hub"))
-        & (F.col("doc_id") != F.col("hub"))
-        & _may_link("_n_shingles", how)
+    rows = stored(rows.withColumn("component", F.coalesce("component", "doc_id")))
+    several = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    ids = rows.join(stored(several.where("low < high").select("band")), "band").select("doc_id").distinct()
+    return texts.join(stored(ids), "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"])
+
+
+def _sketch(how: MinMax):
+    def rows(batch: pa.RecordBatch):
+        sets = [shingle_set(text, how.shingle_words) for text in utf8(batch.column(1))]
+        values = [mix(extremes(x, how.sketch, how.seed + 3)).astype(np.uint8).tobytes() for x in sets]
+        yield {"doc_id": batch.column(0), "sketch": values}
+
+    return rows
+
+
+def _likely_pairs(how: MinMax, top: int | None):
+    """Pairs of a left and a right row of a block, in different components, whose sketches agree enough.
+
+    Rows come block by block, the left ones first. ``top``: for each left row only that many, the most alike ones.
+    """
+
+    def pairs(block: pa.Table) -> pa.RecordBatch:
+        ids, sizes, parts = (block[c].to_numpy() for c in ("doc_id", "n_shingles", "component"))
+        sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(ids), how.sketch)
+        right = block["side"].to_numpy() == 1
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in np.flatnonzero(~right):
+            able = right & (parts != parts[i])
+            able &= 100 * np.minimum(sizes, sizes[i]) >= how.per_cent * np.maximum(sizes, sizes[i])
+            others = np.flatnonzero(able)
+            equal = (sketches[others] == sketches[i]).sum(1)
+            others, equal = others[equal >= how.least_equal], equal[equal >= how.least_equal]
+            if top is not None and len(others) > top:
+                others = others[np.lexsort((ids[others], -equal))[:top]]
+            a.append(np.minimum(ids[i], ids[others]))
+            b.append(np.maximum(ids[i], ids[others]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    def run(batches):
+        waiting = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if waiting is None else pa.concat_tables([waiting, rows]).combine_chunks()
+            keys = np.stack([rows[c].to_numpy() for c in ("band", "i", "j")], 1)
+            starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist()] if len(keys) else [0]
+            for start, end in zip(starts, starts[1:]):
+                yield pairs(rows.slice(start, end - start))
+            waiting = rows.slice(starts[-1])  # its block may go on
+        if waiting is not None and waiting.num_rows:
+            yield pairs(waiting)
+
+    return run
+
+
+def _between_components(
+    buckets: DataFrame, found: DataFrame, known: DataFrame, sketches: DataFrame, how: MinMax, top: int | None
+) -> DataFrame:
+    """Pairs not yet compared that share a bucket but no component and have similar sketches.
+
+    In a bucket with several components, the members of all but the largest (left) meet all members (right), in blocks
+    of bounded size. Only the pairs that pass become rows.
+    """
+    rows = buckets.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    rows = stored(rows.withColumn("component", F.coalesce("component", "doc_id")).drop("hub"))
+    parts = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.groupBy("band").agg(
+        F.max_by("component", "n").alias("largest"), F.max("n").alias("most"), F.sum("n").alias("members")
+    )
+    parts = stored(
+        parts.where("most < members").select(
+            "band",
+            "largest",
+            F.ceil((F.col("members") - F.col("most")) / how.block).alias("lefts"),
+            F.ceil(F.col("members") / how.block).alias("rights"),
+        )
     )
-    pairs = met.select(F.least("_doc_id", "doc_id").alias("a"), F.greatest("_doc_id", "doc_id").alias("b")).distinct()
-    return pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    rows = rows.join(parts, "band").join(sketches, "doc_id")
+
+    def dealt(side: int, own: str, other: str, blocks: str, others: str) -> DataFrame:
+        return rows.withColumns(
+            {
+                own: F.pmod(F.xxhash64("doc_id"), F.col(blocks)),
+                other: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1)),
+                "side": F.lit(side),
+            }
+        ).select("band", "i", "j", "side", "doc_id", "n_shingles", "component", "sketch", "largest")
+
+    left = dealt(0, "i", "j", "lefts", "rights").where("component != largest")
+    met = left.union(dealt(1, "j", "i", "rights", "lefts")).drop("largest")
+    met = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side")
+    likely = met.mapInArrow(_likely_pairs(how, top), "a bigint, b bigint").distinct()
+    return likely.join(known.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def one_of_each_group(docs: DataFrame, how: MinMax = MinMax()) -> DataFrame:
