@@ -64,11 +64,12 @@ class Cache(dict):
         return value
 
     def unknown(self, words: Iterable[Any]) -> list[Any]:
-        """The different words without a value, and those about to be forgotten are kept."""
+        """The different words without a value; those about to be forgotten are kept."""
         new = {word for word in words if word not in self}
-        for word in new & self._older.keys():
-            self.learn(word, self._older[word])
-        return [word for word in new if word not in self]
+        older = self._older
+        for word in new & older.keys():
+            self.learn(word, older[word])
+        return list(new.difference(older))
 
 
 _word_hash = Cache(xxhash.xxh3_64_intdigest)

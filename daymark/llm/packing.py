@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daymark.llm.common import Cache, map_batches, utf8
+from daymark.llm.pieces import byte_characters, simple_pieces
 from daymark.session import stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -28,33 +30,46 @@ class Packing(NamedTuple):
     tokenizer: str = WORD_BPE
 
 
+_BYTES = dict(enumerate(byte_characters()))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space and never joins across it.
 
-    Each different word is encoded once, by the library; a text's ids are those of its words. This holds for
+    Each different word is encoded by itself, by the library; a text's ids are those of its words. This holds for
     ``word_bpe_49k.json``: its split pattern has no white space in a piece, its special strings hold none, and neither
-    lower case nor NFC joins a character with a space before it.
+    lower case nor NFC joins a character with a space before it. The pieces of common words go straight to the library's
+    merges; other words, and those that could hold a special string, go through its whole path.
     """
 
     def __init__(self, file: str):
         self._tokenizer = Tokenizer.from_file(file)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._ids = Cache(lambda word: self._encode([word])[0])
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self._tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        cuts = (4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))).tolist()
-        return [ids[start:end] for start, end in zip(cuts, cuts[1:])]
+        self._merges = self._tokenizer.model
+        self._ids = Cache(self._encode, 300_000)
+        self._pieces = Cache(self._merge, 300_000)
+
+    def _encode(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters: one piece, whose characters stand for themselves
+            return _packed([token.id for token in self._merges.tokenize(word.decode().lower())])
+        text = word.decode()
+        pieces = None if "<|" in text else simple_pieces(text)
+        if pieces is None:
+            return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self._pieces.__getitem__, pieces))
+
+    def _merge(self, piece: str) -> bytes:
+        characters = piece.encode().decode("latin-1").translate(_BYTES)
+        return _packed([token.id for token in self._merges.tokenize(characters)])
 
     def __call__(self, text: bytes | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        words = text.split() if text else []
-        new = self._ids.unknown(words)
-        for word, ids in zip(new, self._encode(new) if new else [], strict=True):
-            self._ids.learn(word, ids)
-        return b"".join(map(self._ids.__getitem__, words))
+        return b"".join(map(self._ids.__getitem__, text.split())) if text else b""
 
 
 @lru_cache(maxsize=2)

@@ -16,16 +16,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daymark.llm.common import Cache, utf8
+from daymark.llm.pieces import byte_characters, simple_pieces
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 _NO_RANK = np.iinfo(np.int64).max
 
-# The pieces the vocabulary's pattern names, of characters below U+0250; case is folded before. These characters do not
-# compose, and what they are has not changed between versions of Unicode.
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
-_SIMPLE_BELOW = "\u0250"
-
-
 class Counting(NamedTuple):
     """``tokenizer``: a word-end BPE file that every executor can read; ``limit``: tokens a document may have."""
 
@@ -33,13 +28,6 @@ class Counting(NamedTuple):
     tokenizer: str = WORD_BPE
 
 
-def byte_characters() -> list[str]:
-    """The character that stands for each byte: itself if it is printable Latin-1, else the next one from U+0100."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    moved = iter(range(0x100, 0x200))
-    return [chr(byte) if byte in own else chr(next(moved)) for byte in range(256)]
-
-
 class Vocabulary:
     """Merge ranks as sorted arrays, special strings, and the first symbol of every byte inside and at the end."""
 
@@ -64,12 +52,10 @@ class Vocabulary:
         parts = self._special.split(word)
         found = []
         for part in parts:
-            if part.isascii():
-                found += [piece.encode() for piece in _PIECE.findall(part.lower())]
-            elif max(part) < _SIMPLE_BELOW:
-                lower = "".join([c.lower() for c in part])
-                found += [piece.encode() for piece in _PIECE.findall(lower)]
-            else:  # the library's own tables
+            simple = simple_pieces(part)
+            if simple is not None:
+                found += [piece.encode() for piece in simple]
+            else:
                 lower = self._library.normalizer.normalize_str(part)
                 places = self._library.pre_tokenizer.pre_tokenize_str(lower)
                 found += [lower[start:end].encode() for _, (start, end) in places]
