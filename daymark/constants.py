@@ -24,3 +24,6 @@ LABEL_POSTGREENLIGHT = "postgreenlight"
 # Spelling of derived names.
 KEY_SEPARATOR = "-"
 SEASON_PREFIX = " S"
+
+# Characters after which title case begins a new word: white space and these, the documented default of the dialect.
+WORD_ENDS = " \t\n\r\x0b\x0c" + "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"

@@ -31,8 +31,8 @@ def title_season_name(title: str = "title_name", season: str = "season_number")
     return F.when(F.col(season) > 0, suffixed).otherwise(F.col(title))
 
 
-def initcap(column: str | Column, delimiters: str | None = None) -> Column:
-    """Title-case. By default words are split at blanks only; ``delimiters`` names every character that ends a word."""
+def initcap(column: str | Column, delimiters: str | None = C.WORD_ENDS) -> Column:
+    """Title-case. ``delimiters`` names every character that ends a word; None splits at blanks only."""
     text = F.col(column) if isinstance(column, str) else column
     if delimiters is None:
         return F.initcap(text)

@@ -1,16 +1,14 @@
 from daymark.operators.aggregates import distinct_rows, labelled_sum
 from daymark.operators.joins import Side, join_sources
 from daymark.operators.latest import latest_per_key
-from daymark.operators.skew import SkewPolicy, heavy_keys, input_bytes, spread_left_join
+from daymark.operators.skew import ROWS_PER_TASK, spread_left_join
 from daymark.operators.snapshot import snapshot_at
 from daymark.operators.unions import stack, union_distinct
 
 __all__ = [
     "Side",
-    "SkewPolicy",
+    "ROWS_PER_TASK",
     "distinct_rows",
-    "heavy_keys",
-    "input_bytes",
     "join_sources",
     "labelled_sum",
     "latest_per_key",

@@ -3,24 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from math import prod
-from operator import or_
 from typing import NamedTuple
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from daymark.operators.skew import SkewPolicy, Splits, heavy_keys, spread_left_join
-from daymark.session import stored
+from daymark.operators.skew import ROWS_PER_TASK, spread_left_join
 
 
 class Side(NamedTuple):
     """A source to join: ``left_keys[i]`` of the base must equal ``right_keys[i]`` of ``df``.
 
-    ``unique`` says that ``df`` has at most one row per key, so it cannot multiply or unbalance the base.
+    ``unique`` says that ``df`` has at most one row per key, so it cannot multiply the base and needs no spreading.
     """
 
     df: DataFrame
@@ -32,94 +25,25 @@ class Side(NamedTuple):
         return self.df.withColumnsRenamed(dict(zip(self.right_keys, self.left_keys, strict=True)))
 
 
-def join_sources(base: DataFrame, sides: Sequence[Side], skew: SkewPolicy | None = None) -> DataFrame:
-    """``base`` left-joined with every side in turn; right keys are dropped, so no name is ambiguous.
+def join_sources(base: DataFrame, sides: Sequence[Side], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``base`` left-joined with every side; right keys are dropped, so no name is ambiguous.
 
-    Sides that share a key should follow each other: the base is then shuffled once for all of them. How each join runs
-    is left to the planner, which broadcasts only sides it has measured to be small.
-
-    Large inputs (see ``SkewPolicy``) are checked for heavy keys first. For that the base and the sides with several
-    rows per key, by then reduced to what the join needs, are stored, so that neither the check nor a lost executor
-    makes Spark scan the sources again. Joins are spread only if the check finds a key that could outgrow a task.
+    Sides with one row per key come first: those that share a key then need one shuffle of the base, and rows of a heavy
+    key, or of none, are the left side's, which AQE splits. The others follow through ``spread_left_join``. Broadcasts
+    are the planner's, by measured size.
     """
-    policy = skew or SkewPolicy()
     taken = set(base.columns)
     for side in sides:
         added = set(side.df.columns) - set(side.right_keys)
         if taken & added:
             raise ValueError(f"ambiguous columns in the join: {sorted(taken & added)}")
         taken |= added
-    sides = [Side(side.renamed(), side.left_keys, side.left_keys, side.unique) for side in sides]
-    multiple = [side for side in sides if not side.unique]
-    if not policy.watches(base, *[side.df for side in multiple]):
-        return _join_in_turn(base, sides)
-
-    frames = [base, *[side.df.dropna(subset=list(side.left_keys)) for side in multiple]]
-    with ThreadPoolExecutor(len(frames)) as pool:  # independent jobs; the cluster runs them side by side
-        base, *tables = pool.map(inheritable_thread_target(base.sparkSession)(stored), frames)
-    replaced = iter(tables)
-    sides = [side if side.unique else side._replace(df=next(replaced)) for side in sides]
-    if largest_group(base, sides) <= policy.rows_per_task:
-        return _join_in_turn(base, sides)
-    return _join_spread(base, sides, policy)
-
-
-def _join_in_turn(base: DataFrame, sides: Sequence[Side]) -> DataFrame:
-    for side in sides:
-        base = base.join(side.df, list(side.left_keys), "left")
-    return base
-
-
-def largest_group(base: DataFrame, sides: Sequence[Side]) -> float:
-    """Upper bound of the rows that share a key at any point of the join.
-
-    One job over the keys alone: the largest group of the base under each set of keys, times the largest group of each
-    side that can multiply it. Rows with a NULL key are not multiplied. Keys are hashed; a collision can only raise the
-    bound.
-    """
-    counted = []
-    for keys in {tuple(side.left_keys) for side in sides}:
-        counted.append(("base", base.dropna(subset=list(keys)), keys))
-        counted.append(("unmatched", base.where(_any_null(keys)), keys))
-    for number, side in enumerate(sides):
-        if not side.unique:
-            counted.append((f"side {number}", side.df, tuple(side.left_keys)))
-    tagged = [
-        df.select(F.lit(part).alias("_part"), F.lit(",".join(keys)).alias("_keys"), F.xxhash64(*keys).alias("_key"))
-        for part, df, keys in counted
-    ]
-    groups = reduce(DataFrame.union, tagged).groupBy("_part", "_keys", "_key").count()
-    maxima = groups.groupBy("_part").agg(F.max("count").alias("_rows")).collect()
-    largest = {row["_part"]: float(row["_rows"]) for row in maxima}
-    multiplied = prod(max(1.0, rows) for part, rows in largest.items() if part != "unmatched")
-    return max(multiplied, largest.get("unmatched", 0.0))
-
-
-def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(key).isNull() for key in keys])
-
-
-def _join_spread(base: DataFrame, sides: Sequence[Side], policy: SkewPolicy) -> DataFrame:
     joined = base
-    # How many joined rows each combination of key values stands for so far. There is one row per combination, so a
-    # heavy key does not unbalance the joins of these counts.
-    grown = base.groupBy(*dict.fromkeys(key for side in sides for key in side.left_keys)).agg(_row_count())
-    checked: dict[tuple, dict[tuple, Splits]] = {}
-    for side in sides:
+    for side in sorted(sides, key=lambda side: not side.unique):
         keys = list(side.left_keys)
-        left_counts = grown.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
-        if side.unique:  # at most one partner per row: the left rows alone decide, and the counts stay as they are
-            if tuple(keys) not in checked:
-                checked[*keys] = heavy_keys(left_counts, left_counts.limit(0), keys, policy)
-            joined = spread_left_join(joined, side.df, keys, checked[*keys])
-            continue
-        right_counts = side.df.groupBy(*keys).agg(_row_count())
-        joined = spread_left_join(joined, side.df, keys, heavy_keys(left_counts, right_counts, keys, policy))
-        matched = grown.join(right_counts.withColumnRenamed("_rows", "_times"), keys, "left")
-        grown = matched.withColumn("_rows", F.col("_rows") * F.coalesce("_times", F.lit(1.0))).drop("_times")
-        checked.clear()
-    return joined
-
-
-def _row_count() -> Column:
-    return F.count(F.lit(1)).cast("double").alias("_rows")
+        if side.unique:
+            joined = joined.join(side.renamed(), keys, "left")
+        else:
+            joined = spread_left_join(joined, side.renamed(), keys, rows_per_task)
+    added = [c for side in sides for c in side.df.columns if c not in side.right_keys]
+    return joined.select(*base.columns, *added)

@@ -2,118 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
-from math import ceil, sqrt
-from operator import and_
-from typing import NamedTuple
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
+ROWS_PER_TASK = 1_000_000
 
-class Splits(NamedTuple):
-    """Number of salts the rows of one key are dealt to."""
 
-    left: int
-    right: int
-
-
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When to look for heavy keys, and how many rows of one key a single task may hold.
-
-    ``check_bytes``: inputs whose files are all smaller than this are joined without looking.
-    ``rows_per_task``: a key with more rows than this is spread over several tasks.
-    """
-
-    check_bytes: int = 256 << 20
-    rows_per_task: int = 1_000_000
-
-    def watches(self, *frames: DataFrame) -> bool:
-        return any(input_bytes(df) >= self.check_bytes for df in frames)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files (or other sources) below a plan, as the session knows it without running anything."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def heavy_keys(
-    left_counts: DataFrame, right_counts: DataFrame, keys: Sequence[str], policy: SkewPolicy
-) -> dict[tuple, Splits]:
-    """Keys whose rows on either side, or whose joined rows, are more than one task may hold, and how to split them.
+def spread_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``left.join(right, keys, 'left')`` with the right rows of a key dealt out over tasks of ``rows_per_task``.
 
-    Both inputs have one row per key with its number of rows, ``_rows``. No more keys can pass than the rows of both sides
-    and of the join divided by ``rows_per_task``, which bounds what comes to the driver.
+    AQE splits the left side of a skewed left join, never the right one. So the right rows of every key are counted in
+    the plan itself, and the number of splits is a column: right rows are dealt to that many salts, left rows repeated
+    once for each. Keys with one split, nearly all as a rule, keep salt 0 and one copy. Nothing runs while the plan is
+    built, and there is one plan for all sizes.
     """
-    both = left_counts.withColumnRenamed("_rows", "_left").join(
-        right_counts.withColumnRenamed("_rows", "_right"), list(keys), "full"
+    counts = right.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = counts.where(F.col("_rows") > rows_per_task).select(
+        *keys, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_splits"), F.xxhash64(*keys).alias("_hash")
     )
-    left, right = F.coalesce("_left", F.lit(0.0)), F.coalesce("_right", F.lit(0.0))
-    heavy = both.where(F.greatest(left, right, left * right) > policy.rows_per_task)
-    rows = heavy.select(*keys, left.alias("_left"), right.alias("_right")).collect()
-    return {tuple(row[k] for k in keys): _splits(row["_left"], row["_right"], policy) for row in rows}
+    splits = heavy.union(_nobody(right, keys))
+    dealt_left = _look_up(left, splits, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), _splits() - 1)))
+    # The partition number, taken where the rows come from, keeps copies of a row from sharing one salt. It does not
+    # depend on row order, so a task that is run again deals its rows out as before.
+    placed = right.withColumn("_place", F.xxhash64(F.spark_partition_id(), *right.columns))
+    dealt_right = _look_up(placed, splits, keys).withColumn("_salt", F.pmod("_place", _splits()).cast("int"))
+    partners = dealt_right.drop("_splits", "_place").withColumn("_met", F.lit(True))
+    met = dealt_left.join(partners, [*keys, "_salt"], "left")
+    # A split key has partners; a salt that happens to hold none of them is no missing match.
+    kept = met.where((_splits() == 1) | F.col("_met").isNotNull())
+    return kept.select(*left.columns, *[c for c in right.columns if c not in keys])
 
 
-def _splits(left_rows: float, right_rows: float, policy: SkewPolicy) -> Splits:
-    # Splitting one side repeats the other, so the larger side is split more: left/right = left_rows/right_rows is
-    # where the repeated rows are fewest. The right side is split only if it has many rows, hence some.
-    left_rows, right_rows = max(1.0, left_rows), max(1.0, right_rows)
-    tasks = left_rows * right_rows / policy.rows_per_task
-    left = min(ceil(tasks), max(1, round(sqrt(tasks * left_rows / right_rows))))
-    return Splits(left, ceil(tasks / left))
+def _splits() -> Column:
+    return F.coalesce("_splits", F.lit(1))
 
 
-def _look_up(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` with the other columns of a small ``table`` of distinct keys; NULL keys find each other.
+def _nobody(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A row that no key finds, because its hash is another one.
 
-    The table comes from ``heavy_keys``, whose bound makes the broadcast safe.
+    With it the look-up stays a join when no key is heavy. Spark would otherwise drop it after the shuffle it made for it,
+    and the rows of a key that is heavy on the left would go on from one task, which AQE cannot split any more.
     """
-    renamed = table.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return df.join(F.broadcast(renamed), same, "left").drop(*[f"_key_{k}" for k in keys])
+    key = [_any_value(df.schema[k].dataType).alias(k) for k in keys]
+    row = df.sparkSession.range(1).select(*key)
+    return row.select(*keys, F.lit(1).alias("_splits"), (F.xxhash64(*keys) + 1).alias("_hash"))
 
 
-def spread_left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: Mapping[tuple, Splits]
-) -> DataFrame:
-    """``left.join(right, keys, 'left')`` with the rows of heavy keys dealt out over several tasks.
-
-    The rows of a heavy key are dealt to salts on both sides, and each side is repeated once per salt of the other, so
-    every pair still meets exactly once. Keys that are not heavy get salt 0 and one copy.
-    """
-    if not heavy:
-        return left.join(right, list(keys), "left")
-    fields = [StructField(k, left.schema[k].dataType) for k in keys]
-    fields += [StructField(f"{side}_splits", IntegerType()) for side in ("_left", "_right")]
-    rows = [(*key, splits.left, splits.right) for key, splits in heavy.items()]
-    table = left.sparkSession.createDataFrame(rows, StructType(fields))
-    salts = ["_left_salt", "_right_salt"]
-
-    def salted(df: DataFrame, own: str, partner: str) -> DataFrame:
-        tagged = _look_up(df, table, keys)
-        own_splits, copies = (F.coalesce(F.col(f"{side}_splits"), F.lit(1)) for side in (own, partner))
-        return tagged.withColumns(
-            {
-                f"{own}_salt": _salt(df.columns, own_splits),
-                f"{partner}_salt": F.explode(F.sequence(F.lit(0), copies - 1)),
-            }
-        )
-
-    dealt = salted(left, "_left", "_right")
-    partners = salted(right, "_right", "_left").drop("_left_splits", "_right_splits").withColumn("_met", F.lit(True))
-    met = dealt.join(partners, [*keys, *salts], "left")
-    # A key split on the right has partners; a salt that happens to hold none of them is no missing match.
-    kept = met.where((F.coalesce(F.col("_right_splits"), F.lit(1)) == 1) | F.col("_met").isNotNull())
-    return kept.select(*left.columns, *[c for c in right.columns if c not in keys])
+def _any_value(kind: DataType) -> Column:
+    if isinstance(kind, DateType | TimestampType | TimestampNTZType):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit("" if isinstance(kind, StringType) else 0).cast(kind)
 
 
-def _salt(columns: Sequence[str], splits: Column) -> Column:
-    # The partition number keeps equal rows from sharing one salt. It does not depend on row order within the
-    # partition, so a task that is run again deals its rows out the same way.
-    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *columns), splits).cast("int")
-    return F.when(splits > 1, dealt).otherwise(0)
+def _look_up(df: DataFrame, splits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the splits of its keys. The hash in the join condition makes Spark shuffle both sides for the join,
+    also the one already grouped by the keys, and only then can AQE split a skewed key of ``df``."""
+    joined = df.withColumn("_hash", F.xxhash64(*keys)).join(splits, [*keys, "_hash"], "left")
+    return joined.select(*df.columns, "_splits")

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from daymark import constants as C
 from daymark.functions import entity_key, finished_label, initcap, phase_label, title_season_name
 from daymark.operators import (
+    ROWS_PER_TASK,
     Side,
-    SkewPolicy,
     distinct_rows,
     join_sources,
     labelled_sum,
@@ -75,7 +75,7 @@ def views_launched(tables: Tables) -> DataFrame:
 
 
 def launched(
-    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = None, skew: SkewPolicy | None = None
+    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Launched titles, each row once: the measured value if there is one, else the forecast.
 
@@ -98,7 +98,7 @@ def launched(
             Side(view_forecast.withColumnRenamed("phase", "phase_forecast"), ["match_id"], ["match_id"], unique=True),
             Side(sums, by_season, by_season),
         ],
-        skew,
+        rows_per_task,
     )
     rows = joined.withColumns(
         {
@@ -109,7 +109,6 @@ def launched(
             f"phase_{horizon}d": F.coalesce("phase_measured", "phase_forecast"),
         }
     )
-    # Shuffled plans need no exchange here: the rows already lie together by keys that are part of the result.
     return rows.select(*result_columns(horizon)).distinct()
 
 
@@ -157,7 +156,7 @@ def view_future(tables: Tables, day: int = C.HORIZON_DAY, dated: bool = True) ->
 
 
 def future(
-    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = None, skew: SkewPolicy | None = None
+    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Future titles, each row once, joined to their forecasts by the suffixed name as stored."""
     active = active_future(tables, horizon).withColumnRenamed("phase", "phase_active")
@@ -170,7 +169,7 @@ def future(
             Side(active, ["title_name_season"], ["title_name"], unique=True),
             Side(view, ["title_name_season"], ["title_name"]),
         ],
-        skew,
+        rows_per_task,
     )
     # No distinct: the group keys of views_future make its rows unique, they survive in the result (the stored name in
     # title_name_season), and the sides add at most one row per distinct value.
@@ -197,7 +196,7 @@ def result_columns(horizon: int = C.HORIZON_DAY) -> list[str]:
 
 
 def build_endpoint(
-    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = None, skew: SkewPolicy | None = None
+    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """The result table, every row once, unsorted.
 
@@ -205,7 +204,7 @@ def build_endpoint(
     has. Stacking them is therefore the de-duplicating union, without its shuffle of the whole result.
     """
     return stack(
-        launched(tables, horizon, title_delimiters, skew),
-        future(tables, horizon, title_delimiters, skew),
+        launched(tables, horizon, title_delimiters, rows_per_task),
+        future(tables, horizon, title_delimiters, rows_per_task),
         result_columns(horizon),
     )

@@ -7,7 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 STRING, INT, DOUBLE, DATE = StringType(), IntegerType(), DoubleType(), DateType()
 
@@ -16,6 +26,10 @@ def _schema(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
+# Columns that are compared and never reach a result: they may keep the whole-number type of their source.
+COMPARED = frozenset({"days_on_platform", "days_since_first_offered", "target_day", "pred_day"})
+
+# The column lists below are fixed: names and order of the inputs and of the result.
 _FORECAST = dict(
     match_id=STRING, title_name=STRING, prediction=DOUBLE, phase=STRING, target_day=INT, pred_day=INT
 )
@@ -88,10 +102,23 @@ class Tables:
 def conform(df: DataFrame, name: str, **computed: Column) -> DataFrame:
     """The declared columns of an input, taken from ``df`` or ``computed``, in their declared types.
 
-    A cast to the type a column already has is dropped by the optimizer, so filters still reach the files.
+    A cast to the type a column already has is dropped by the optimizer, so filters still reach the files. Columns that
+    are only compared are not cast if the source holds whole numbers of another width, because a filter on a cast column
+    would not.
     """
-    fields = SCHEMAS[name]
-    return df.select(*[computed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+
+    def column(field: StructField) -> Column:
+        if field.name in computed:
+            return computed[field.name].cast(field.dataType)
+        if field.name in COMPARED and _is_whole(df.schema[field.name].dataType):
+            return F.col(field.name)
+        return F.col(field.name).cast(field.dataType)
+
+    return df.select(*[column(field).alias(field.name) for field in SCHEMAS[name]])
+
+
+def _is_whole(kind: DataType) -> bool:
+    return isinstance(kind, IntegralType) or (isinstance(kind, DecimalType) and kind.scale == 0)
 
 
 def from_parquet(spark: SparkSession, root: str) -> Tables:
@@ -101,6 +128,8 @@ def from_parquet(spark: SparkSession, root: str) -> Tables:
 
 def from_catalog(spark: SparkSession, names: Mapping[str, str]) -> Tables:
     """Inputs held in the session's catalog; ``names`` maps an input to its (one- to three-part) table name."""
+    if unknown := set(names) - set(SCHEMAS):
+        raise ValueError(f"no such input: {sorted(unknown)}; inputs are {sorted(SCHEMAS)}")
     return Tables(**{name: conform(spark.table(names.get(name, name)), name) for name in SCHEMAS})
 
 

@@ -7,7 +7,7 @@ from datetime import date
 
 import pytest
 
-from daymark.operators import SkewPolicy, union_distinct
+from daymark.operators import union_distinct
 from daymark.plans import build_endpoint, future, launched
 from daymark.plans.endpoint import result_columns
 from daymark.sources import RESULT_SCHEMA, SCHEMAS, conform, from_catalog, from_parquet
@@ -33,9 +33,8 @@ def test_golden_rows(spark, stored):
     assert [(f.name, f.dataType) for f in result.schema] == [(f.name, f.dataType) for f in RESULT_SCHEMA]
 
 
-def test_golden_rows_with_every_join_watched(spark, stored):
-    watched = SkewPolicy(check_bytes=0, rows_per_task=1)
-    rows = rows_of(build_endpoint(from_parquet(spark, stored), skew=watched))
+def test_golden_rows_with_every_key_split(spark, stored):
+    rows = rows_of(build_endpoint(from_parquet(spark, stored), rows_per_task=1))
     assert len(rows) == len(golden.EXPECTED)
     assert set(rows) == golden.EXPECTED
 
@@ -76,9 +75,9 @@ def test_title_delimiters_change_the_display_name_only(spark):
     inputs = dict(golden.INPUTS)
     inputs["entity_base"] = [("T9", "spider-man: the MOVIE", "A", 0, "movie", "x", None)]
     plain = launched(golden.in_memory(spark, inputs)).first()
-    hyphened = launched(golden.in_memory(spark, inputs), title_delimiters=" -:").first()
-    assert (plain["title_name"], hyphened["title_name"]) == ("Spider-man: The Movie", "Spider-Man: The Movie")
-    assert plain["title_name_season"] == hyphened["title_name_season"] == "spider-man: the MOVIE"
+    at_blanks = launched(golden.in_memory(spark, inputs), title_delimiters=None).first()
+    assert (plain["title_name"], at_blanks["title_name"]) == ("Spider-Man: The Movie", "Spider-man: The Movie")
+    assert plain["title_name_season"] == at_blanks["title_name_season"] == "spider-man: the MOVIE"
 
 
 # --- random inputs against a plain restatement --------------------------------------------------------------------
@@ -224,16 +223,16 @@ def restated(inputs):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("skew", [None, SkewPolicy(check_bytes=0, rows_per_task=4)], ids=["unwatched", "watched"])
-def test_random_inputs(spark, tmp_path, seed, skew):
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 2])
+def test_random_inputs(spark, tmp_path, seed, rows_per_task):
     inputs = random_inputs(seed)
     golden.write_inputs(spark, str(tmp_path / "inputs"), inputs, files=3)
     tables = from_parquet(spark, str(tmp_path / "inputs"))
-    rows = rows_of(build_endpoint(tables, skew=skew))
+    rows = rows_of(build_endpoint(tables, rows_per_task=rows_per_task))
     expected = restated(inputs)
     assert len(rows) == len(set(rows)), "the endpoint holds a row twice"
     assert set(rows) == expected
     assert future(tables).where("title_id IS NOT NULL OR match_id IS NOT NULL").isEmpty()
-    if skew is None:
+    if rows_per_task > 2:
         generic = rows_of(union_distinct(launched(tables), future(tables), RESULT_SCHEMA.names))
         assert len(generic) == len(rows) and set(generic) == expected

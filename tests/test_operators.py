@@ -7,12 +7,10 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from daymark import constants as C
 from daymark.functions import entity_key, finished_label, initcap, lowercase_columns, phase_label, title_season_name
 from daymark.operators import (
     Side,
-    SkewPolicy,
-    heavy_keys,
-    input_bytes,
     join_sources,
     labelled_sum,
     latest_per_key,
@@ -21,10 +19,9 @@ from daymark.operators import (
     stack,
     union_distinct,
 )
-from daymark.operators.joins import largest_group
 from daymark.plans import run_file, run_template
 from daymark.queries import SNAPSHOT_SQL
-from tests.plans import plan_of
+from tests.plans import plan_of, settings
 
 
 def rows_of(df):
@@ -54,12 +51,20 @@ def test_title_season_name(spark):
 def test_initcap(spark):
     names = ["spider-man: the MOVIE", "two  blanks", "", None, "a.b c]d^e\\f"]
     df = spark.createDataFrame([(n,) for n in names], "title_name string")
-    plain = [row[0] for row in df.select(initcap("title_name")).collect()]
+    plain = [row[0] for row in df.select(initcap("title_name", None)).collect()]
     assert plain == ["Spider-man: The Movie", "Two  Blanks", "", None, "A.b C]d^e\\f"]
-    cut = [row[0] for row in df.select(initcap("title_name", " -:.]^\\")).collect()]
+    few = [row[0] for row in df.select(initcap("title_name", " :")).collect()]
+    assert few == ["Spider-man: The Movie", "Two  Blanks", "", None, "A.b C]d^e\\f"]
+    cut = [row[0] for row in df.select(initcap("title_name")).collect()]
     assert cut == ["Spider-Man: The Movie", "Two  Blanks", "", None, "A.B C]D^E\\F"]
 
 
+def test_initcap_begins_a_word_after_each_delimiter(spark):
+    text = "".join(f"{c}aB" for c in C.WORD_ENDS)
+    (row,) = spark.createDataFrame([(text + "'aB9aB",)], "t string").select(initcap("t")).collect()
+    assert row[0] == "".join(f"{c}Ab" for c in C.WORD_ENDS) + "'ab9ab"
+
+
 def test_labels(spark):
     flags = spark.createDataFrame([(1,), (0,), (None,)], "finished_window_flag int")
     assert [row[0] for row in flags.select(finished_label()).collect()] == ["actual", "postlaunch", "postlaunch"]
@@ -142,10 +147,6 @@ def test_join_sources_keys_and_names(spark):
         join_sources(base, [Side(two, ["k", "s"], ["k", "s"]), Side(two, ["k", "s"], ["k", "s"])])
 
 
-def counted(df):
-    return df.groupBy("k").agg(F.count("*").cast("double").alias("_rows"))
-
-
 def skewed(spark, left_hot, right_hot):
     """Keys 0 to 9; ``left_hot`` and ``right_hot`` name keys with many rows, among them copies."""
     left = [(k, None, i) for k in [*range(10), None] for i in range(40 if k in left_hot else 2)]
@@ -164,46 +165,39 @@ def skewed(spark, left_hot, right_hot):
 )
 def test_spread_left_join_is_the_left_join(spark, left_hot, right_hot):
     left, right = skewed(spark, left_hot, right_hot)
-    policy = SkewPolicy(rows_per_task=5)
-    heavy = heavy_keys(counted(left), counted(right.dropna()), ["k"], policy)
-    assert set(heavy) == {(k,) for k in {*left_hot, *right_hot}}
-    spread = spread_left_join(left, right, ["k"], heavy)
+    spread = spread_left_join(left, right, ["k"], rows_per_task=5)
     assert spread.columns == ["k", "s", "i", "v"]
     assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
     assert "NestedLoop" not in plan_of(spread) and "Cartesian" not in plan_of(spread)
 
 
-def test_both_sides_of_a_heavy_key_are_split(spark):
-    """Neither side is heavy alone, their pairs are."""
-    left = spark.range(60).select(F.lit(1).alias("k"), F.col("id").alias("a"))
-    right = spark.range(40).select(F.lit(1).alias("k"), F.col("id").alias("b"))
-    heavy = heavy_keys(counted(left), counted(right), ["k"], SkewPolicy(rows_per_task=100))
-    splits = heavy[(1,)]
-    assert splits.left > 1 and splits.right > 1 and splits.left * splits.right >= 24
-    spread = spread_left_join(left, right, ["k"], heavy)
-    assert rows_of(spread) == rows_of(left.join(right, ["k"], "left"))
-
-
-def test_spread_left_join_keeps_a_heavy_key_from_one_task(spark):
-    """No task may get much more than the limit, whichever side is heavy."""
-    policy = SkewPolicy(rows_per_task=200)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        heavy = spark.range(6000).select(F.lit(7).alias("k"), F.col("id").alias("n")).repartition(6)
-        light = spark.createDataFrame([(7, "x"), (8, "y")], "k int, t string")
-        for left, right in [(heavy, light), (light, heavy)]:
-            spread = spread_left_join(left, right, ["k"], heavy_keys(counted(left), counted(right), ["k"], policy))
-            rows = spread.groupBy(F.spark_partition_id().alias("task")).count().collect()
-            assert sum(row["count"] for row in rows) == (6000 if left is heavy else 6001)
-            assert max(row["count"] for row in rows) < 6000 / 2
-            assert len(rows) >= 6
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-
-
-def test_watched_chain_is_the_plain_chain(spark):
+@pytest.mark.parametrize("heavy_side", ["left", "right"])
+def test_spread_left_join_keeps_a_heavy_key_from_one_task(spark, heavy_side):
+    """A third of the rows on one key: no task may make more than twice the mean, whichever side is heavy."""
+    rows = 90_000
+    many = spark.range(rows).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"), F.col("id").alias("n")
+    )
+    few = spark.range(0, rows, 7).select(F.col("id").cast("int").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    left, right = (many, few) if heavy_side == "left" else (few, many)
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="40k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="60k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__shuffle__partitions="16",
+    ):
+        spread = spread_left_join(left, right, ["k"], rows_per_task=300)
+        by_task = spread.groupBy(F.spark_partition_id().alias("task"))
+        tasks = [row["rows"] for row in by_task.agg(F.count("*").alias("rows"), F.max("n"), F.max("t")).collect()]
+    assert sum(tasks) == left.join(right, ["k"], "left").count()
+    assert max(tasks) <= 2 * sum(tasks) / len(tasks)
+
+
+def test_split_chain_is_the_plain_chain(spark):
     """A side that multiplies a key makes it heavy for the joins that follow, under the same key or another one."""
     base = spark.createDataFrame([(k, k % 3, None if k == 5 else "n") for k in range(12)], "k int, s int, n string")
     many = spark.createDataFrame([(4, i) for i in range(30)] + [(5, 1)], "k int, v int")
@@ -216,28 +210,12 @@ def test_watched_chain_is_the_plain_chain(spark):
         Side(single, ["k"], ["k"], unique=True),
         Side(pairs, ["k", "s"], ["k", "s"]),
     ]
-    plain = join_sources(base, sides, SkewPolicy(check_bytes=1 << 80))
-    watched = join_sources(base, sides, SkewPolicy(check_bytes=0, rows_per_task=10))
-    assert rows_of(watched) == rows_of(plain)
-
-
-def test_largest_group_bounds_the_growth(spark):
-    base = spark.createDataFrame([("a", 1)] * 3 + [("b", 2)] + [(None, 3)] * 5, "k string, i int")
-    two = Side(spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int"), ["k"], ["k"])
-    one = Side(spark.createDataFrame([("a", 1)], "k string, w int"), ["k"], ["k"], unique=True)
-    assert largest_group(base, [one]) == 5  # rows without a key
-    assert largest_group(base, [two, one]) == 6
-    assert largest_group(base.limit(0), [one]) == 1
-
-
-def test_input_bytes_counts_files(spark, tmp_path):
-    path = str(tmp_path / "numbers")
-    spark.range(1000).write.parquet(path)
-    stored = sum(f.stat().st_size for f in (tmp_path / "numbers").glob("*.parquet"))
-    df = spark.read.parquet(path)
-    assert input_bytes(df.groupBy("id").count()) == pytest.approx(stored, rel=0.05)
-    assert not SkewPolicy().watches(df)
-    assert SkewPolicy(check_bytes=stored // 2).watches(df)
+    plain = base
+    for side in sides:
+        plain = plain.join(side.df, list(side.left_keys), "left")
+    for rows_per_task in (1, 10, 1_000_000):
+        split = join_sources(base, sides, rows_per_task)
+        assert rows_of(split.select(*plain.columns)) == rows_of(plain)
 
 
 # --- SQL text ----------------------------------------------------------------------------------------------------------
