@@ -1,6 +1,7 @@
 """The seven inputs derived from the ``part`` and ``lineitem`` test tables.
 
-A part stands for a title (every fourth one a future title), a line item for one measurement or forecast of it.
+A part stands for a title (every fourth one a future title), a line item for one measurement or forecast of it. Some
+names get punctuation, and some dates, phases, forecast days and whole groups of measures are NULL.
 """
 
 from __future__ import annotations
@@ -37,14 +38,23 @@ class DriverTables:
         described = part.select(
             "p_partkey",
             F.col("p_partkey").cast("string").alias("title_id"),
-            F.col("p_name").alias("title_name"),
+            F.when(F.col("p_partkey") % 5 == 0, F.concat_ws("-", "p_name", "p_type"))
+            .when(F.col("p_partkey") % 5 == 1, F.concat_ws(": ", "p_type", "p_name"))
+            .otherwise(F.col("p_name"))
+            .alias("title_name"),
             F.col("p_brand").alias("tier"),
             F.col("p_type").alias("category"),
             F.when(is_series, C.CATEGORY_SERIES).otherwise("movie").alias("content_category"),
             F.when(F.col("p_size") != 50, F.when(is_series, F.col("p_size") % 5).otherwise(0)).alias("season_number"),
-            F.date_add(F.lit(FIRST_START).cast("date"), F.col("p_size") * 40).alias("effective_start_date"),
-            F.date_add(F.lit(FIRST_PREMIERE).cast("date"), F.col("p_size")).alias("premiere_date"),
+            F.when(F.col("p_size") != 7, F.date_add(F.lit(FIRST_START).cast("date"), F.col("p_size") * 40)).alias(
+                "effective_start_date"
+            ),
+            F.when(F.col("p_size") % 10 != 9, F.date_add(F.lit(FIRST_PREMIERE).cast("date"), F.col("p_size"))).alias(
+                "premiere_date"
+            ),
             (F.col("p_partkey") % 4 == 0).alias("is_future"),
+            (F.col("p_partkey") % 7 != 3).alias("has_daily"),
+            (F.col("p_size") != 11).alias("has_future"),
         )
         return described.withColumns({"match_id": entity_key(), "title_season": title_season_name()})
 
@@ -55,7 +65,7 @@ class DriverTables:
         days = F.datediff(F.col("l_shipdate").cast("date"), F.lit(FIRST_START).cast("date"))
         dated = lines.withColumns(
             {
-                "pred_day": days % 60 - 30,
+                "pred_day": F.when(F.col("l_quantity") != 13, days % 60 - 30),
                 "target_day": F.when(F.col("l_quantity") <= 25, C.HORIZON_DAY).otherwise(7),
                 "day_n": F.col("l_linenumber") * 7,
             }
@@ -97,7 +107,7 @@ class DriverTables:
             name,
             self.records,
             (F.col("l_returnflag") != "A") & (F.col("l_linestatus") == status),
-            phase=F.when(F.col("is_future"), early).otherwise(C.PHASE_POST_LAUNCH),
+            phase=F.when(F.col("l_linenumber") != 7, F.when(F.col("is_future"), early).otherwise(C.PHASE_POST_LAUNCH)),
             title_name=F.col("title_season"),
             prediction=F.col("l_tax"),
         )
@@ -115,9 +125,9 @@ class DriverTables:
         return _input(
             "daily_forecast",
             self.records,
-            F.expr("NOT is_future AND l_linenumber <= 2"),
+            ~F.col("is_future"),
             finished_window_flag=(F.col("l_returnflag") == "A").cast("int"),
-            predicted_first_views=F.col("l_quantity"),
+            predicted_first_views=F.when(F.col("has_daily"), F.col("l_quantity")),
             schedule_label=F.when(F.col("l_linestatus") == "F", C.SCHEDULE_PAST).otherwise(C.SCHEDULE_ALPHA),
         )
 
@@ -127,7 +137,7 @@ class DriverTables:
             "future_forecast",
             self.records,
             F.col("is_future"),
-            first_views_pred=F.col("l_quantity"),
+            first_views_pred=F.when(F.col("has_future"), F.col("l_quantity")),
             schedule_label=F.when(F.col("l_linestatus") == "O", C.SCHEDULE_ALPHA).otherwise("beta"),
         )
 
