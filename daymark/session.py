@@ -8,8 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 TASK_BYTES = 128 << 20  # data one task should handle; fits an executor core's share of memory with room to sort
-MAX_SCAN_TASKS = 100_000
-MAX_PARTITIONS = 20_000
 
 
 def local_session(name: str = "daymark", cores: str | int = "*") -> SparkSession:
@@ -31,23 +29,32 @@ def local_session(name: str = "daymark", cores: str | int = "*") -> SparkSession
 
 
 def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
-    """Settings for a job over ``input_bytes`` of files: tasks small enough to sort in memory, but not too many of them.
-
-    Every map task writes a block for every shuffle partition, so both numbers are held down for very large inputs.
-    AQE merges partitions that turn out small and splits skewed ones.
-    """
-    partitions = max(2 * cores, min(-(-input_bytes // TASK_BYTES), MAX_PARTITIONS))
-    split = max(TASK_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+    """Settings for a job over ``input_bytes`` of files: an ample number of shuffle partitions to start from, which AQE
+    merges to ``TASK_BYTES`` each, so that the size per task does not grow with the input."""
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-input_bytes // TASK_BYTES))),
     }
 
 
+def apply_unless_set(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Settings the user has not made, by ``spark-submit`` or in the session."""
+    made = spark.conf.getAll
+    for name, value in settings.items():
+        if name not in made:
+            spark.conf.set(name, value)
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the files below a folder; only their listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.agg({"length": "sum"}).first()[0] or 0
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir`` or set on the context; only a local session may do without."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -69,6 +76,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_folder(spark))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder the job itself made."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df`` from a table written to the shared folder: computed once, also if an executor is lost."""
     path = fresh_folder(df.sparkSession, "stage")

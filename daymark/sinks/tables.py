@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +21,24 @@ def by_start_date(df: DataFrame) -> DataFrame:
 
 
 def replace_table(
-    df: DataFrame, name: str, sort: Sequence[Column | str] | None = None, path: str | None = None
+    df: DataFrame,
+    name: str,
+    sort: Sequence[Column | str] | None = None,
+    path: str | None = None,
+    atomic: bool = False,
 ) -> None:
     """Replace a table of the session catalog (managed, or stored at ``path``) by the rows of ``df``.
 
-    ``df`` must not read the table it replaces, and readers may see it missing; ``publish_version`` has neither limit.
+    ``atomic`` asks the table's catalog to replace it under its own name, all or nothing; readers see the old rows until
+    the new ones are whole. Catalogs that cannot do that refuse. Without it ``df`` must not read the table it replaces,
+    and readers may see the table missing; ``publish_version`` has neither limit in any catalog.
     """
     rows = df if sort is None else df.orderBy(*sort)
+    if atomic:
+        if path is not None:
+            raise ValueError("a catalog that replaces tables whole chooses their place")
+        rows.writeTo(name).createOrReplace()
+        return
     writer = rows.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
@@ -36,9 +48,11 @@ def replace_table(
 def publish_version(df: DataFrame, root: str, view: str) -> str:
     """Write ``df`` as a new version below ``root`` and only then point ``view`` at it; returns the version's path.
 
-    A job that fails leaves the view on the version before, and the plan may read that version.
+    A job that fails leaves the view on the version before, and the plan may read that version. The version's name begins
+    with its time (UTC); the live one is the one the view's definition names, which need not be the newest folder.
     """
-    path = f"{root}/{view}/version={uuid.uuid4().hex}"
+    now = datetime.now(UTC).strftime("%Y%m%dT%H%M%S")
+    path = f"{root}/{view}/version={now}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     columns = ", ".join(f"`{column}`" for column in df.columns)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{path}`")

@@ -15,7 +15,7 @@ from daymark.plans import build_endpoint
 from daymark.session import fresh_folder, shuffle_settings
 from daymark.sinks import by_start_date, publish_version, replace_table, write_csv_indexed
 from daymark.sinks.csv import with_row_index
-from daymark.sources import from_values
+from daymark.sources import SCHEMAS, from_catalog, from_parquet, from_values
 from daymark.timing import elapsed
 from tests import golden
 from tests.plans import settings
@@ -102,23 +102,101 @@ def test_sort_spreads_a_frequent_date(spark):
     assert sum(sizes) == 4000 and max(sizes) < 4000 / 2
 
 
-def test_job(spark, tmp_path):
+@pytest.fixture
+def unchanged_settings(spark):
+    before = {key: spark.conf.get(key, None) for key in shuffle_settings(0, 1)}
+    made = set(spark.conf.getAll)
+    yield before
+    for key, value in before.items():
+        spark.conf.set(key, value) if key in made else spark.conf.unset(key)
+
+
+def test_job(spark, tmp_path, unchanged_settings):
+    golden.write_inputs(spark, str(tmp_path / "in"))
+    stages = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(stages.iterdir())
+    path = main(["--inputs", str(tmp_path / "in"), "--root", str(tmp_path / "out"), "--view", "job_endpoint"])
+    assert set(rows_of(spark.table("job_endpoint"))) == golden.EXPECTED
+    assert set(stages.iterdir()) == before, "the job leaves no stage folder"
+    assert Path(path).name.startswith("version=2")
+    # shuffle.partitions was set by the session's builder and is kept
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    main(["--inputs", str(tmp_path / "in"), "--root", str(tmp_path / "out"), "--view", "job_endpoint", "--unsorted"])
+    assert set(rows_of(spark.table("job_endpoint"))) == golden.EXPECTED
+    spark.sql("DROP VIEW job_endpoint")
+
+
+def test_job_over_partitioned_catalog_tables_keeps_the_settings(spark, tmp_path, unchanged_settings):
+    """Such tables have no size without statistics."""
+    tables = golden.in_memory(spark)
+    names = []
+    for name in SCHEMAS:
+        table = f"catalog_{name}"
+        writer = getattr(tables, name).write.option("path", str(tmp_path / name))
+        if name.endswith("_forecast") and "phase" in SCHEMAS[name].names:
+            writer = writer.partitionBy("phase")
+        writer.saveAsTable(table)
+        names += ["--table", f"{name}={table}"]
+    main([*names, "--root", str(tmp_path / "out"), "--view", "catalog_endpoint", "--title-delimiters", " ", "--horizon", "28"])
+    assert set(rows_of(spark.table("catalog_endpoint"))) == golden.EXPECTED
+    assert {key: spark.conf.get(key, None) for key in unchanged_settings} == unchanged_settings
+    spark.sql("DROP VIEW catalog_endpoint")
+    for name in SCHEMAS:
+        spark.sql(f"DROP TABLE catalog_{name}")
+
+
+@pytest.mark.parametrize(
+    "arguments",
+    [
+        ["--table", "entity_bse=db.titles"],
+        ["--table", "entity_base"],
+        ["--table", "entity_base="],
+        ["--table", "entity_base=a", "--table", "entity_base=b"],
+        ["--inputs", "folder", "--table", "entity_base=a"],
+    ],
+)
+def test_job_refuses_inputs_it_would_not_read(arguments, capsys):
+    with pytest.raises(SystemExit):
+        main([*arguments, "--root", "out"])
+    assert "--table" in capsys.readouterr().err
+
+
+def test_catalog_refuses_unknown_inputs(spark):
+    with pytest.raises(ValueError, match="entity_bse"):
+        from_catalog(spark, {"entity_bse": "x"})
+
+
+def test_last_join_stage_of_the_job_runs_once(spark, tmp_path):
+    """A range sort samples its input; sorted after storing, the joins are not run for that."""
     golden.write_inputs(spark, str(tmp_path / "in"))
-    before = {key: spark.conf.get(key) for key in shuffle_settings(0, 1)}
-    try:
-        main(["--inputs", str(tmp_path / "in"), "--root", str(tmp_path / "out"), "--view", "job_endpoint"])
-        assert set(rows_of(spark.table("job_endpoint"))) == golden.EXPECTED
-        spark.sql("DROP VIEW job_endpoint")
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
-def test_shuffle_settings_grow_with_the_input():
-    small, middle, large = (shuffle_settings(n, c) for n, c in [(10 << 20, 8), (1 << 40, 800), (100 << 40, 8000)])
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(value):
+        seen.add(1)
+        return value
+
+    counted = F.udf(note, "string")
+    result = build_endpoint(from_parquet(spark, str(tmp_path / "in"))).withColumn("title_name", counted("title_name"))
+    stage = str(tmp_path / "stage")
+    result.write.parquet(stage)
+    rows = by_start_date(spark.read.parquet(stage)).collect()
+    assert seen.value == len(rows) == len(golden.EXPECTED)
+
+
+def test_atomic_replace_is_the_catalogs_choice(spark, tmp_path):
+    """The session catalog cannot replace a Parquet table whole: it refuses instead of falling back."""
+    with pytest.raises(Exception, match="(?i)not supported|unsupported|replace"):
+        replace_table(spark.range(3).toDF("n"), "replaced_whole", atomic=True)
+    assert not spark.catalog.tableExists("replaced_whole")
+    with pytest.raises(ValueError):
+        replace_table(spark.range(3).toDF("n"), "replaced_whole", path=str(tmp_path), atomic=True)
+
+
+def test_shuffle_settings_keep_the_size_per_task():
     partitions, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
-    assert [int(s[partitions]) for s in (small, middle, large)] == [16, 8192, 20_000]
-    assert [int(s[split]) >> 20 for s in (small, middle, large)] == [128, 128, 1048]
+    for size, cores, wanted in [(10 << 20, 8, 16), (1 << 40, 800, 8192), (100 << 40, 8000, 819_200)]:
+        settings_ = shuffle_settings(size, cores)
+        assert (int(settings_[partitions]), int(settings_[split])) == (wanted, 128 << 20)
 
 
 def test_shared_folder_is_the_one_the_session_names():
