@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from daymark.operators.skew import ROWS_PER_TASK, spread_left_join
+from daymark.operators.skew import ROWS_PER_TASK, spread_left_joins
 
 
 class Side(NamedTuple):
@@ -29,7 +29,7 @@ def join_sources(base: DataFrame, sides: Sequence[Side], rows_per_task: int = RO
     """``base`` left-joined with every side; right keys are dropped, so no name is ambiguous.
 
     Sides with one row per key come first: those that share a key then need one shuffle of the base, and rows of a heavy
-    key, or of none, are the left side's, which AQE splits. The others follow through ``spread_left_join``. Broadcasts
+    key, or of none, are the left side's, which AQE splits. The others follow through ``spread_left_joins``. Broadcasts
     are the planner's, by measured size.
     """
     taken = set(base.columns)
@@ -39,11 +39,13 @@ def join_sources(base: DataFrame, sides: Sequence[Side], rows_per_task: int = RO
             raise ValueError(f"ambiguous columns in the join: {sorted(taken & added)}")
         taken |= added
     joined = base
-    for side in sorted(sides, key=lambda side: not side.unique):
-        keys = list(side.left_keys)
+    by_keys: dict[tuple[str, ...], list[DataFrame]] = {}
+    for side in sides:
         if side.unique:
-            joined = joined.join(side.renamed(), keys, "left")
+            joined = joined.join(side.renamed(), list(side.left_keys), "left")
         else:
-            joined = spread_left_join(joined, side.renamed(), keys, rows_per_task)
+            by_keys.setdefault(tuple(side.left_keys), []).append(side.renamed())
+    for keys, frames in by_keys.items():
+        joined = spread_left_joins(joined, frames, list(keys), rows_per_task)
     added = [c for side in sides for c in side.df.columns if c not in side.right_keys]
     return joined.select(*base.columns, *added)

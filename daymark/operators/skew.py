@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,35 +16,55 @@ ROWS_PER_TASK = 1_000_000
 def spread_left_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """``left.join(right, keys, 'left')`` with the right rows of a key dealt out over tasks of ``rows_per_task``.
+    """``left.join(right, keys, 'left')`` with the right rows of a key dealt out over tasks of ``rows_per_task``."""
+    return spread_left_joins(left, [right], keys, rows_per_task)
+
+
+def spread_left_joins(
+    left: DataFrame, rights: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``left`` left-joined with each of ``rights`` by the same keys.
 
     AQE splits the left side of a skewed left join, never the right one. So the right rows of every key are counted in
-    the plan itself, and the number of splits is a column: right rows are dealt to that many salts, left rows repeated
-    once for each. Keys with one split, nearly all as a rule, keep salt 0 and one copy. Nothing runs while the plan is
-    built, and there is one plan for all sizes.
+    the plan itself, for all of ``rights`` at once, and the numbers of splits are columns: right rows are dealt to that
+    many salts, left rows repeated once for each. Keys with one split, nearly all as a rule, keep salt 0 and one copy.
+    Nothing runs while the plan is built, and there is one plan for all sizes.
     """
-    counts = right.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = counts.where(F.col("_rows") > rows_per_task).select(
-        *keys, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_splits"), F.xxhash64(*keys).alias("_hash")
+    splits = _splits_of(rights, keys, rows_per_task)
+    joined, names = _look_up(left, splits, keys), list(left.columns)
+    for number, right in enumerate(rights):
+        own = F.coalesce(f"_splits_{number}", F.lit(1))
+        dealt_left = joined.withColumn("_salt", F.explode(F.sequence(F.lit(0), own - 1)))
+        # The partition number, taken where the rows come from, keeps copies of a row from sharing one salt. It does not
+        # depend on row order, so a task that is run again deals its rows out as before.
+        placed = right.withColumn("_place", F.xxhash64(F.spark_partition_id(), *right.columns))
+        dealt_right = _look_up(placed, splits, keys).withColumn("_salt", F.pmod("_place", own).cast("int"))
+        partners = dealt_right.select(*right.columns, "_salt", F.lit(True).alias("_met"))
+        met = dealt_left.join(partners, [*keys, "_salt"], "left")
+        # A split key has partners; a salt that happens to hold none of them is no missing match.
+        names += [c for c in right.columns if c not in keys]
+        later = [f"_splits_{n}" for n in range(number + 1, len(rights))]
+        joined = met.where((own == 1) | F.col("_met").isNotNull()).select(*names, *later)
+    return joined
+
+
+def _splits_of(rights: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows in one of ``rights``, and their splits there."""
+    marked = [
+        right.dropna(subset=list(keys)).select(*keys, *[F.lit(int(i == n)).alias(f"_rows_{i}") for i in range(len(rights))])
+        for n, right in enumerate(rights)
+    ]
+    counts = reduce(DataFrame.union, marked).groupBy(*keys)
+    counts = counts.agg(*[F.sum(f"_rows_{i}").alias(f"_rows_{i}") for i in range(len(rights))])
+    most = reduce(or_, [F.col(f"_rows_{i}") > rows_per_task for i in range(len(rights))])
+    each = [F.greatest(F.ceil(F.col(f"_rows_{i}") / rows_per_task), F.lit(1)).cast("int") for i in range(len(rights))]
+    heavy = counts.where(most).select(
+        *keys, *[n.alias(f"_splits_{i}") for i, n in enumerate(each)], F.xxhash64(*keys).alias("_hash")
     )
-    splits = heavy.union(_nobody(right, keys))
-    dealt_left = _look_up(left, splits, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), _splits() - 1)))
-    # The partition number, taken where the rows come from, keeps copies of a row from sharing one salt. It does not
-    # depend on row order, so a task that is run again deals its rows out as before.
-    placed = right.withColumn("_place", F.xxhash64(F.spark_partition_id(), *right.columns))
-    dealt_right = _look_up(placed, splits, keys).withColumn("_salt", F.pmod("_place", _splits()).cast("int"))
-    partners = dealt_right.drop("_splits", "_place").withColumn("_met", F.lit(True))
-    met = dealt_left.join(partners, [*keys, "_salt"], "left")
-    # A split key has partners; a salt that happens to hold none of them is no missing match.
-    kept = met.where((_splits() == 1) | F.col("_met").isNotNull())
-    return kept.select(*left.columns, *[c for c in right.columns if c not in keys])
-
-
-def _splits() -> Column:
-    return F.coalesce("_splits", F.lit(1))
+    return heavy.union(_nobody(rights[0], keys, len(rights)))
 
 
-def _nobody(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _nobody(df: DataFrame, keys: Sequence[str], sides: int) -> DataFrame:
     """A row that no key finds, because its hash is another one.
 
     With it the look-up stays a join when no key is heavy. Spark would otherwise drop it after the shuffle it made for it,
@@ -50,7 +72,8 @@ def _nobody(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     key = [_any_value(df.schema[k].dataType).alias(k) for k in keys]
     row = df.sparkSession.range(1).select(*key)
-    return row.select(*keys, F.lit(1).alias("_splits"), (F.xxhash64(*keys) + 1).alias("_hash"))
+    ones = [F.lit(1).alias(f"_splits_{i}") for i in range(sides)]
+    return row.select(*keys, *ones, (F.xxhash64(*keys) + 1).alias("_hash"))
 
 
 def _any_value(kind: DataType) -> Column:
@@ -63,4 +86,4 @@ def _look_up(df: DataFrame, splits: DataFrame, keys: Sequence[str]) -> DataFrame
     """``df`` with the splits of its keys. The hash in the join condition makes Spark shuffle both sides for the join,
     also the one already grouped by the keys, and only then can AQE split a skewed key of ``df``."""
     joined = df.withColumn("_hash", F.xxhash64(*keys)).join(splits, [*keys, "_hash"], "left")
-    return joined.select(*df.columns, "_splits")
+    return joined.drop("_hash")
