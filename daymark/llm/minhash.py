@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, how: MinMax = MinMax()) -> DataFrame:
     found = stored(components(links.where("linked")))
 
     # What the smallest id of a bucket leaves apart: the most similar members first, then all that could be linked.
-    sketches = stored(map_batches(_apart(buckets, found, texts), _sketch(how), "doc_id bigint, sketch binary"))
+    sketches = stored(map_batches(_apart(buckets, found, texts), _sketch(how), "doc_id bigint, sketch binary, bands binary"))
     for top in (2, None):
         rest = stored(_between_components(buckets, found, links, sketches, how, top))
         links = stored(links.union(compare(rest, texts, how)))
@@ -196,7 +196,7 @@ def _sketch(how: MinMax):
     def rows(batch: pa.RecordBatch):
         sets = [shingle_set(text, how.shingle_words) for text in utf8(batch.column(1))]
         values = [mix(extremes(x, how.sketch, how.seed + 3)).astype(np.uint8).tobytes() for x in sets]
-        yield {"doc_id": batch.column(0), "sketch": values}
+        yield {"doc_id": batch.column(0), "sketch": values, "bands": [signature(x, how).tobytes() for x in sets]}
 
     return rows
 
@@ -204,20 +204,26 @@ def _sketch(how: MinMax):
 def _likely_pairs(how: MinMax, top: int | None):
     """Pairs of a left and a right row of a block, in different components, whose sketches agree enough.
 
-    Rows come block by block, the left ones first. ``top``: for each left row only that many, the most alike ones.
+    Rows come block by block, the left ones first. A pair that shares several bands is given by the first of them alone
+    (all buckets with both are split between their components, so that one is here too), and two left rows by the
+    smaller id. ``top``: for each left row only that many, the most alike ones.
     """
 
     def pairs(block: pa.Table) -> pa.RecordBatch:
         ids, sizes, parts = (block[c].to_numpy() for c in ("doc_id", "n_shingles", "component"))
         sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(ids), how.sketch)
+        bands = np.frombuffer(b"".join(block["bands"].to_pylist()), np.int64).reshape(len(ids), how.bands)
+        this_band, minor = block["band"][0].as_py(), block["minor"].to_numpy()
         right = block["side"].to_numpy() == 1
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in np.flatnonzero(~right):
-            able = right & (parts != parts[i])
+            able = right & (parts != parts[i]) & (~minor | (ids > ids[i]))
             able &= 100 * np.minimum(sizes, sizes[i]) >= how.per_cent * np.maximum(sizes, sizes[i])
             others = np.flatnonzero(able)
             equal = (sketches[others] == sketches[i]).sum(1)
             others, equal = others[equal >= how.least_equal], equal[equal >= how.least_equal]
+            first_shared = bands[i][(bands[others] == bands[i]).argmax(1)]
+            others, equal = others[first_shared == this_band], equal[first_shared == this_band]
             if top is not None and len(others) > top:
                 others = others[np.lexsort((ids[others], -equal))[:top]]
             a.append(np.minimum(ids[i], ids[others]))
@@ -262,7 +268,8 @@ def _between_components(
             F.ceil(F.col("members") / how.block).alias("rights"),
         )
     )
-    rows = rows.join(parts, "band").join(sketches, "doc_id")
+    rows = rows.join(parts, "band").withColumn("minor", F.col("component") != F.col("largest"))
+    rows = rows.join(sketches, "doc_id")
 
     def dealt(side: int, own: str, other: str, blocks: str, others: str) -> DataFrame:
         return rows.withColumns(
@@ -271,10 +278,10 @@ def _between_components(
                 other: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1)),
                 "side": F.lit(side),
             }
-        ).select("band", "i", "j", "side", "doc_id", "n_shingles", "component", "sketch", "largest")
+        ).select("band", "i", "j", "side", "doc_id", "n_shingles", "component", "minor", "sketch", "bands")
 
-    left = dealt(0, "i", "j", "lefts", "rights").where("component != largest")
-    met = left.union(dealt(1, "j", "i", "rights", "lefts")).drop("largest")
+    left = dealt(0, "i", "j", "lefts", "rights").where("minor")
+    met = left.union(dealt(1, "j", "i", "rights", "lefts"))
     met = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side")
     likely = met.mapInArrow(_likely_pairs(how, top), "a bigint, b bigint").distinct()
     return likely.join(known.select("a", "b"), ["a", "b"], "left_anti")
