@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,9 +69,29 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="daymark-")
 
 
+_in_scope: ContextVar[list[str] | None] = ContextVar("folders of the innermost scratch scope", default=None)
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a folder that does not exist yet, below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    if (folders := _in_scope.get()) is not None:
+        folders.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the folders that were asked for within, at the end. Frames made within may read them, so what is to last
+    must be written by then."""
+    folders: list[str] = []
+    token = _in_scope.set(folders)
+    try:
+        yield
+    finally:
+        _in_scope.reset(token)
+        for path in folders:
+            remove_folder(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

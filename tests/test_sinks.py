@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from daymark.job import main
 from daymark.plans import build_endpoint
-from daymark.session import fresh_folder, shuffle_settings
+from daymark.session import fresh_folder, scratch, shared_folder, shuffle_settings, stored
 from daymark.sinks import by_start_date, publish_version, replace_table, write_csv_indexed
 from daymark.sinks.csv import with_row_index
 from daymark.sources import SCHEMAS, from_catalog, from_parquet, from_values
@@ -113,7 +113,7 @@ def unchanged_settings(spark):
 
 def test_job(spark, tmp_path, unchanged_settings):
     golden.write_inputs(spark, str(tmp_path / "in"))
-    stages = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    stages = Path(shared_folder(spark).removeprefix("file:"))
     before = set(stages.iterdir())
     path = main(["--inputs", str(tmp_path / "in"), "--root", str(tmp_path / "out"), "--view", "job_endpoint"])
     assert set(rows_of(spark.table("job_endpoint"))) == golden.EXPECTED
@@ -206,6 +206,21 @@ def test_shared_folder_is_the_one_the_session_names():
     assert fresh_folder(Session, "x").startswith("hdfs://folder/x-")
 
 
+def test_scratch_removes_what_was_stored_within(spark, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    with scratch(spark):
+        kept = stored(spark.range(5))
+        assert len(set(folder.iterdir()) - before) == 1
+        kept.write.parquet(str(tmp_path / "kept"))
+    assert set(folder.iterdir()) == before
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 5
+    with pytest.raises(RuntimeError), scratch(spark):
+        stored(spark.range(5))
+        raise RuntimeError
+    assert set(folder.iterdir()) == before
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     class Session:
         conf = {}
