@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daymark.llm import minhash, mixing, packing, substrings, toxicity
 from daymark.llm.common import table
-from daymark.session import fresh_folder
+from daymark.session import fresh_folder, remove_folder, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What the stages store on the way is removed as soon as the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        before = path
     return docs

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 from daymark.llm import toxicity
+from daymark.session import shared_folder
 from tests.llm.test_minhash import plain_components, plain_sets
 from tests.llm.test_substrings import plain_removed
 
@@ -52,7 +54,11 @@ def test_stages(spark, tmp_path):
 
 
 def test_run_is_its_stages(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = {path.name for path in folder.iterdir()}
     assert corpus_pipeline.run(spark, FOLDER).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
     ]
+    left = {path.name for path in folder.iterdir()} - before
+    assert [name.rsplit("-", 1)[0] for name in left if not name.startswith("rdd-")] == ["pipeline-packing"]
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
