@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -37,6 +38,7 @@ def map_batches(
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches("words")
         for batch in batches:
             for out in rows(batch):
                 columns = [pa.array(out[field.name], field.type) for field in arrow]
@@ -45,12 +47,26 @@ def map_batches(
     return df.mapInArrow(run, fields)
 
 
+_caches: list[weakref.ref[Cache]] = []
+
+
+def release_caches(user: str) -> None:
+    """Empty the caches of other operators: a Python worker serves one after the other, and its memory holds one's words."""
+    alive = [(ref, cache) for ref in _caches if (cache := ref()) is not None]
+    _caches[:] = [ref for ref, _ in alive]
+    for _, cache in alive:
+        if cache._user != user:
+            cache.clear()
+            cache._older = {}
+
+
 class Cache(dict):
     """Function of a word, remembered for the last ``limit`` to ``2 * limit`` different words."""
 
-    def __init__(self, function: Callable[[Any], Any], limit: int = MAX_CACHED_WORDS):
+    def __init__(self, function: Callable[[Any], Any], limit: int = MAX_CACHED_WORDS, user: str = "words"):
         super().__init__()
-        self._function, self._limit, self._older = function, limit, {}
+        self._function, self._limit, self._older, self._user = function, limit, {}, user
+        _caches.append(weakref.ref(self))
 
     def __missing__(self, word: Any) -> Any:
         value = self._older.get(word)

@@ -8,11 +8,12 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import gram_hashes, signed, utf8, word_hashes
+from daymark.llm.common import gram_hashes, release_caches, signed, utf8, word_hashes
 from daymark.session import stored
 
 
@@ -23,11 +24,30 @@ class Backoff(NamedTuple):
 
     penalty: float = 0.4
     least_count: int = 2
-    block_words: int = 3_000_000
+    block_words: int = 2_500_000
     part_grams: int = 2_000_000
     units: int = 1_000_000
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as bytes, compressed: they are stored and exchanged, and most are small."""
+    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def packed_sorted(x: np.ndarray) -> bytes:
+    """Ascending numbers as their compressed differences, byte by byte of all of them: the upper bytes are mostly zero."""
+    return packed(np.ascontiguousarray(np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    planes = unpacked(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 _BLOCK = "block bigint, ids array<bigint>, lengths binary, places binary, words binary, n_words bigint"
 
 
@@ -37,12 +57,13 @@ def blocks(docs: DataFrame, how: Backoff) -> DataFrame:
     def block(number: int, ids: list, hashes: list[np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(h) for h in hashes], np.int64)
         words, places = np.unique(np.concatenate(hashes), return_inverse=True)
-        binaries = [lengths.tobytes(), places.astype(np.uint32).tobytes(), words.tobytes()]
+        binaries = [packed(lengths), packed(places.astype(np.uint32)), words.tobytes()]
         columns = [pa.array([number]), pa.array([ids], pa.list_(pa.int64())), *(pa.array([b]) for b in binaries)]
         names = ["block", "ids", "lengths", "places", "words", "n_words"]
         return pa.RecordBatch.from_arrays([*columns, pa.array([int(lengths.sum())])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches("words")
         number, ids, hashes, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
@@ -68,7 +89,7 @@ class Block(NamedTuple):
 
     @classmethod
     def of(cls, lengths: bytes, places: bytes, words: bytes) -> Block:
-        sizes, at = np.frombuffer(lengths, np.int64), np.frombuffer(places, np.uint32)
+        sizes, at = unpacked(lengths, np.int64), unpacked(places, np.uint32)
         begins = np.ones(len(at), bool)
         begins[np.cumsum(sizes[sizes > 0]) - 1] = False  # a document's last word begins no bigram
         return cls(sizes, at, np.frombuffer(words, np.uint64), np.flatnonzero(begins))
@@ -89,8 +110,8 @@ def _asked(parts: int):
             pa.array(signed(part[starts].astype(np.uint64))),
             pa.array(np.full(len(starts), block, np.int64)),
             pa.array(np.full(len(starts), size, np.int32)),
-            pa.array([grams[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary()),
-            pa.array([counts[s:e].astype(np.uint32).tobytes() for s, e in zip(starts, ends)], pa.binary()),
+            pa.array([packed_sorted(grams[s:e]) for s, e in zip(starts, ends)], pa.binary()),
+            pa.array([packed(counts[s:e].astype(np.uint32)) for s, e in zip(starts, ends)], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["part", "block", "size", "grams", "counts"])
 
@@ -111,13 +132,13 @@ def _counted(asked: pa.Table) -> pa.Table:
     answers: list = [None] * len(sizes)
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
-        keys = np.frombuffer(b"".join(grams[i] for i in rows), np.uint64)
-        own = np.frombuffer(b"".join(counts[i] for i in rows), np.uint32)
+        slices = [unpacked_sorted(grams[i]) for i in rows]
+        cuts = np.cumsum([0, *map(len, slices)])
+        keys, own = np.concatenate(slices), np.concatenate([unpacked(counts[i], np.uint32) for i in rows])
         _, number = np.unique(keys, return_inverse=True)
         totals = np.bincount(number, own)[number].astype(np.uint64)
-        cuts = np.cumsum([0, *(len(grams[i]) // 8 for i in rows)])
         for i, start, end in zip(rows, cuts, cuts[1:]):
-            answers[i] = totals[start:end].tobytes()
+            answers[i] = packed(totals[start:end])
     return pa.table(
         {"block": asked["block"], "size": asked["size"], "part": asked["part"], "totals": pa.array(answers, pa.binary())}
     )
@@ -137,11 +158,12 @@ def _scored(total: int, how: Backoff):
             ordered = answers.sort_by([("size", "ascending"), ("part", "ascending")])
             for size in by_size:
                 of_size = ordered.filter(pa.compute.equal(ordered["size"], size))
-                by_size[size] = np.frombuffer(b"".join(of_size["totals"].to_pylist()), np.uint64)
+                parts = [unpacked(totals, np.uint64) for totals in of_size["totals"].to_pylist()]
+                by_size[size] = np.concatenate([by_size[size], *parts])
             alone = by_size[1][own.places].astype(float)
             logs = np.log(alone / total)
             backed_off = np.ones(len(logs), bool)
-            backed_off[np.flatnonzero(np.append(True, np.diff(np.repeat(np.arange(len(own.lengths)), own.lengths)) > 0))] = False
+            backed_off[(np.cumsum(own.lengths) - own.lengths)[own.lengths > 0]] = False  # first words
             logs[backed_off] = np.log(how.penalty * alone[backed_off] / total)
             _, number = np.unique(own.bigrams(), return_inverse=True)
             together = by_size[2][number].astype(float) if len(number) else np.empty(0)
