@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daymark.llm.common import Cache, map_batches, utf8
+from daymark.llm.common import Cache, map_batches, release_caches, utf8
 from daymark.llm.pieces import byte_characters, simple_pieces
 from daymark.session import stored
 
@@ -51,8 +51,8 @@ class WordIds:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._merges = self._tokenizer.model
-        self._ids = Cache(self._encode, 300_000)
-        self._pieces = Cache(self._merge, 300_000)
+        self._ids = Cache(self._encode, 300_000, "ids")
+        self._pieces = Cache(self._merge, 200_000, "ids")
 
     def _encode(self, word: bytes) -> bytes:
         if word.isalpha():  # ASCII letters: one piece, whose characters stand for themselves
@@ -86,6 +86,7 @@ def tokenized(docs: DataFrame, how: Packing) -> DataFrame:
     end = np.array([how.end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches("ids")
         encode, task, start = word_ids(how.tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             for first in range(0, batch.num_rows, 256):

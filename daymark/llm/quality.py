@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import gram_hashes, seeded_order, utf8, word_hashes
+from daymark.llm.common import gram_hashes, release_caches, seeded_order, utf8, word_hashes
 
 CONTENT, BOILERPLATE = 1, 0
 
@@ -302,6 +302,7 @@ def judged(docs: DataFrame, field: Field, rules: Rules = Rules()) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches("words")
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

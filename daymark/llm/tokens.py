@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from daymark.llm.common import Cache, utf8
+from daymark.llm.common import Cache, release_caches, utf8
 from daymark.llm.pieces import byte_characters, simple_pieces
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -106,7 +106,7 @@ class TokenCounter:
 
     def __init__(self, file: str):
         self._vocabulary = Vocabulary(file)
-        self._counts = Cache(lambda word: self._of([word])[0])
+        self._counts = Cache(lambda word: self._of([word])[0], user="counts")
 
     def _of(self, words: list[bytes]) -> list[int]:
         split = [self._vocabulary.pieces(word.decode()) for word in words]
@@ -142,6 +142,7 @@ def counted(docs: DataFrame, how: Counting = Counting()) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches("counts")
         counter = token_counter(how.tokenizer)
         for batch in batches:
             for first in range(0, batch.num_rows, 512):

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.common import Cache, map_batches, seeded_order, utf8
+from daymark.llm.common import Cache, map_batches, release_caches, seeded_order, utf8
 from daymark.session import stored
 
 
@@ -52,7 +52,8 @@ def word_features(word: bytes) -> tuple[str, ...]:
     return tuple({core, *(f"{core[:size]}-" for size in (4, 5) if len(core) >= size)}) if core else ()
 
 
-_features = Cache(word_features)
+# For the sample only, which is small: the words of a corpus have no need to stay.
+_features = Cache(word_features, 20_000, "toxicity")
 
 
 def counts(text: bytes | None, features=_features) -> tuple[Counter, int]:
@@ -193,7 +194,8 @@ def severity(text: bytes | None, model: Model, features) -> np.ndarray:
 
 def _known(model: Model) -> Cache:
     """Features of a word that the model has a weight for."""
-    return Cache(lambda word: tuple(f for f in word_features(word) if f in model.weights))
+    release_caches("toxicity")
+    return Cache(lambda word: tuple(f for f in word_features(word) if f in model.weights), 100_000, "toxicity")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
