@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from daymark.llm import minhash
 from daymark.llm.components import components
 
@@ -96,3 +97,19 @@ def test_blocks_meet_once(spark):
     large = minhash.near_duplicates(texts).collect()
     small = minhash.near_duplicates(texts, minhash.MinMax(block=3)).collect()
     assert sorted(large) == sorted(small)
+
+
+def test_stage_drops_near_copies_from_four_fifths(spark):
+    """Runs of 100 shingles: two changed words leave 90 of 110 (0.82), three 85 of 115 (0.74)."""
+    docs = []
+    for group in range(40):
+        words = [f"g{group}w{i}" for i in range(104)]
+        changed = {20: "x", 60: "y"} if group % 2 else {20: "x", 50: "y", 80: "z"}
+        docs.append((2 * group, " ".join(words)))
+        docs.append((2 * group + 1, " ".join(changed.get(i, word) for i, word in enumerate(words))))
+    sets = plain_sets(docs)
+    overlaps = {i // 2: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 80, 2)}
+    assert all((0.8 < s < 0.85) if group % 2 else s < 0.8 for group, s in overlaps.items())
+    found = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(docs, "doc_id bigint, text string"), "").collect()
+    assert sorted(r["doc_id"] for r in found) == [i for i in range(80) if i % 4 != 3]
+    assert minhash.MinMax().per_cent == 85  # op2's
