@@ -9,7 +9,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.llm.common import map_batches, seeded_order, utf8
@@ -19,9 +19,9 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 class Training(NamedTuple):
-    """Bounds of the fit: about ``documents`` per language, chosen by a hash of the id, the ``words`` most frequent
-    different words of them, and ``languages`` most frequent languages. Longer words than ``longest`` bytes are read in
-    pieces."""
+    """Bounds of the fit: about ``documents`` per language, chosen by a hash of the id, ``words`` different words of them,
+    as many of each language as it has or its share allows, the most frequent ones, and ``languages`` most frequent
+    languages. Longer words than ``longest`` bytes are read in pieces."""
 
     documents: int = 300
     words: int = 30_000
@@ -214,7 +214,11 @@ def fit(docs: DataFrame, how: Training = Training()) -> Model:
     sample = known.join(F.broadcast(table), "lang").where(drawn).select("lang", "text")
     words = map_batches(sample, _word_counts(how.longest), "lang string, word binary, n bigint")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    rows = words.orderBy(F.desc("n"), "word", "lang").limit(how.words).collect()  # bounded by ``words``
+    # The languages take turns, so that none is without words; equally frequent words come in the order of a hash.
+    own = Window.partitionBy("lang").orderBy(F.desc("n"), seeded_order(F.col("word"), how.seed), "word")
+    most = max(how.words, len(languages))
+    ranked = words.withColumn("place", F.row_number().over(own)).where(F.col("place") <= most)
+    rows = ranked.orderBy("place", F.desc("n"), "lang").limit(most).collect()
     number = {lang: i for i, lang in enumerate(languages)}
     wanted = np.array([number[r["lang"]] for r in rows], np.int64)
     n = np.array([r["n"] for r in rows], float) ** 0.5

@@ -98,6 +98,28 @@ def test_texts_without_letters():
     assert found[0][1] == 0 and found[3][1] == 0.5
 
 
+def test_rare_and_unspaced_languages_are_learnt(spark):
+    """Two languages have more frequent words than the bound; a rare one and one without spaces have few or unique ones."""
+    rng = np.random.default_rng(8)
+
+    def word(letters):
+        return "".join(rng.choice(list(letters), 6))
+
+    latin, greek = [word("abcdefghij") for _ in range(400)], [word("αβγδεζηθικ") for _ in range(400)]
+    rows = []
+    for _ in range(60):
+        rows.append(("aa", " ".join(rng.choice(latin, 100))))
+        rows.append(("bb", " ".join(rng.choice(greek, 100))))
+        rows.append(("zz", "".join(rng.choice(list("日本語文字列東京都"), 120))))
+    rows += [("rr", " ".join(word("бвгджзклмн") for _ in range(8))) for _ in range(12)]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id bigint, lang string, text string")
+    model = languages.fit(df, languages.Training(words=300, batch=32, epochs=20))
+    found = languages.predicted(df, model).join(df, "doc_id").collect()
+    for lang in ("aa", "bb", "rr", "zz"):
+        unseen = [row["lang_pred"] == lang for row in found if row["lang"] == lang and row["held_out"]]
+        assert unseen and sum(unseen) / len(unseen) > 0.9, lang
+
+
 # --- toxicity --------------------------------------------------------------------------------------------------------
 
 
