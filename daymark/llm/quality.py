@@ -26,11 +26,13 @@ class Rules(NamedTuple):
 
 
 class Training(NamedTuple):
-    """Bounds of the fit: ``per_class`` labelled documents of either quality, chosen by a hash of the id, and the first
-    of them with ``lines`` lines together."""
+    """Bounds of the fit: ``per_class`` labelled documents of either quality, chosen by a hash of the id, and ``lines``
+    lines of them together. If they have more, the longest give evenly spaced ones. Runs of more than ``chain`` lines of a
+    document count as several documents, because shorter ones are filled up to the longest."""
 
     per_class: int = 1500
     lines: int = 200_000
+    chain: int = 512
     steps: int = 150
     rate: float = 0.1
     l2: float = 1e-3
@@ -249,6 +251,22 @@ def train(documents: list[Document], content: np.ndarray, how: Training) -> Fiel
     return field
 
 
+def quota(sizes: dict[int, int], lines: int) -> int:
+    """The most lines a document may give so that all give ``lines`` together, but each one line at least; ``sizes``:
+    number of documents by their number of lines."""
+    documents, left = sum(sizes.values()), lines
+    for size in sorted(sizes):
+        if size * documents > left:
+            return max(1, left // documents)
+        left -= size * sizes[size]
+        documents -= sizes[size]
+    return max(sizes, default=1)
+
+
+def evenly_spaced(features: np.ndarray, most: int) -> np.ndarray:
+    return features if len(features) <= most else features[np.arange(most) * len(features) // most]
+
+
 def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Field:
     """A field from labelled documents: the lines of good ones count as content, those of poor ones as boilerplate.
 
@@ -260,23 +278,25 @@ def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Field
     chosen = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(how.per_class) for q in (0, 1)]
     ids = F.broadcast(chosen[0].union(chosen[1]))  # at most twice per_class rows
     sample = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "quality", "text")
+    breaks = F.length("text") - F.length(F.translate("text", "\n", ""))
+    sizes = sample.groupBy((F.coalesce(breaks, F.lit(0)) + 1).alias("lines")).count().collect()
+    most = quota({row["lines"]: row["count"] for row in sizes}, how.lines)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            read_ = [read(text) for text in utf8(batch.column(2))]
-            columns = [batch.column(0), batch.column(1), pa.array([d.features.tobytes() for d in read_], pa.binary())]
+            lines = [evenly_spaced(read(text).features, most) for text in utf8(batch.column(2))]
+            columns = [batch.column(0), batch.column(1), pa.array([f.tobytes() for f in lines], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "features"])
 
     rows = sample.mapInArrow(run, "doc_id bigint, quality int, features binary")
-    rows = rows.orderBy(order, "doc_id", "quality", "features").collect()  # features of at most twice per_class documents
-    documents, content, lines = [], [], 0
+    rows = rows.orderBy(order, "doc_id", "quality", "features").collect()  # ten bytes a line
+    documents, content = [], []
     for row in rows:
         features = np.frombuffer(row["features"], np.int8).reshape(-1, len(_STEPS))
-        lines += len(features)
-        if lines > how.lines and documents:
-            break
-        documents.append(Document(0, 0, 0, 0, 0, np.zeros(len(features)), features))
-        content.append(CONTENT if row["quality"] else BOILERPLATE)
+        for start in range(0, len(features), how.chain):
+            part = features[start : start + how.chain]
+            documents.append(Document(0, 0, 0, 0, 0, np.zeros(len(part)), part))
+            content.append(CONTENT if row["quality"] else BOILERPLATE)
     return train(documents, np.array(content), how) if len(set(content)) == 2 else empty_field()
 
 

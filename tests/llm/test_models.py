@@ -259,6 +259,27 @@ def test_quality_of_documents_not_learnt_from(docs, labels):
         assert row["kept"] == (not row["base_failed"] and row["content_share"] >= 0.5)
 
 
+def test_a_long_document_does_not_end_the_fit(spark):
+    """The first document in the order of the fit has more lines than all may give together."""
+    order = quality.seeded_order(quality.F.col("id"), quality.Training().seed)
+    ids = [row["id"] for row in spark.range(40).orderBy(order, "id").collect()]
+    good, poor = "The quiet river ran along the old stone wall of the town.", "HOME | LOGIN | 123 | # MENU"
+    docs = [(i, "\n".join([poor if n % 2 else good] * (900 if n == 0 else 6))) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - n % 2) for n, i in enumerate(ids)], "doc_id bigint, quality int")
+    field = quality.fit(df, labels, quality.Training(lines=400))
+    words = quality.content_words([quality.read(x.encode()) for x in (good, poor)], field)
+    assert words == [12, 0]
+
+
+def test_lines_that_documents_may_give():
+    assert quality.quota({6: 39, 900: 1}, 400) == 166 and quality.quota({6: 39, 900: 1}, 2000) == 900
+    assert quality.quota({5: 10}, 3) == 1 and quality.quota({}, 3) == 1
+    rows = np.arange(900)[:, None]
+    assert len(quality.evenly_spaced(rows, 166)) == 166 and quality.evenly_spaced(rows, 900) is rows
+    assert (np.diff(quality.evenly_spaced(rows, 166)[:, 0]) >= 5).all()
+
+
 # --- vectors ---------------------------------------------------------------------------------------------------------
 
 
