@@ -24,8 +24,6 @@ class Search(NamedTuple):
 
     threshold: float = 0.98
     sample: int = 20_000
-    recall: float = 0.9999
-    slack: float = 1.3
     cell_rows: int = 200
     block: int = 1024
     seed: int = 3
@@ -103,41 +101,23 @@ def nearest_cells(first: np.ndarray, second: np.ndarray, reach: float) -> Iterat
 
 
 def fit(vectors: DataFrame, how: Search) -> Index | None:
-    """Codebooks and radius from a sample, None without vectors.
+    """Codebooks from a sample, None without vectors.
 
-    Any two vectors at the threshold lie within a distance that bounds the search exactly; the part of it that a plane
-    between cells takes up is much less. The radius is where ``recall`` of the sample's links have their partner's cell,
-    times ``slack``, and at least where links at the threshold in random directions have it. It is the exact bound if the
-    sample has too few links to tell.
+    The radius is the exact one: two vectors at the threshold are no further apart, so each visits the cell of the other
+    and both count their link.
     """
     size = vectors.agg(F.max(F.size("embedding")).alias("size"), F.count(F.lit(1)).alias("rows")).first()
     if not size["rows"]:
         return None
     order = seeded_order(F.col("vec_id"), how.seed)
-    rows = vectors.orderBy(order, "vec_id").limit(how.sample).select("label", "embedding").collect()
+    rows = vectors.orderBy(order, "vec_id").limit(how.sample).select("embedding").collect()
     x = np.zeros((len(rows), size["size"]))
     for row, values in zip(x, units([r["embedding"] for r in rows])[0], strict=True):
         row[: len(values)] = values
     rng = np.random.default_rng(how.seed)
     k = int(np.clip(np.sqrt(size["rows"] / how.cell_rows), 4, 1024))
     codebooks = tuple(k_means(half, k, rng) for half in halves(x))
-    exact = 2 - 2 * how.threshold + 1e-9
-    needed = [np.empty(0)]
-    labels = np.array([r["label"] for r in rows])
-    cells = [bounds(half, book) for half, book in zip(halves(x), codebooks, strict=True)]
-    for label in np.unique(labels):
-        own = np.flatnonzero(labels == label)
-        for start in range(0, len(own), 500):
-            part = own[start : start + 500]
-            a, b = np.nonzero(x[part] @ x[own].T >= how.threshold)
-            a, b = part[a], own[b]
-            needed.append(sum(squares[a, nearest[b]] for nearest, squares in cells)[a != b])
-    needed = np.concatenate(needed)
-    if len(needed) < 100:
-        return Index(codebooks, exact, size["size"])
-    any_direction = -2 * exact / size["size"] * np.log(1 - how.recall)
-    reach = max(how.slack**2 * float(np.quantile(needed, how.recall)), any_direction)
-    return Index(codebooks, min(exact, reach), size["size"])
+    return Index(codebooks, 2 - 2 * how.threshold + 1e-9, size["size"])
 
 
 def _classes(batch: pa.RecordBatch):

@@ -324,6 +324,25 @@ def test_links_are_those_of_all_pairs(spark, how):
         assert row["kept"] == (row["vec_id"] == wanted)
 
 
+def test_loose_links_beside_a_tight_group(spark):
+    """Nearly all pairs are those of one tight group; the links of the others lie near the threshold, in few directions."""
+    rng = np.random.default_rng(9)
+    rows = [np.eye(64)[0] + rng.normal(size=64) * 1e-5 for _ in range(2500)]
+    for _ in range(150):
+        x, y = np.zeros((2, 64))
+        x[[0, 1, 32, 33]], y[[0, 1, 32, 33]] = rng.normal(size=(2, 4))
+        x /= np.linalg.norm(x)
+        y -= (x @ y) * x
+        rows += [x, 0.981 * x + (1 - 0.981**2) ** 0.5 * y / np.linalg.norm(y)]
+    rows = [(i, 1, x.tolist()) for i, x in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")
+    x = np.array([r[2] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    wanted = (x @ x.T >= 0.98).sum(1) - 1
+    found = vectors.near_duplicates(df, vectors.Search(cell_rows=10)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == dict(enumerate(wanted.tolist()))
+
+
 def test_vectors_without_ids_repeated_and_none(spark):
     schema = "vec_id bigint, label int, embedding array<float>, n int, cell string, size int"
     rows = [(1, 1, [1.0, 2.0], 0, "", 1), (1, 1, [1.0, 2.0], 0, "", 1), (None, 1, [1.0, 2.0], 0, "", 1), (2, 1, [2.0, 4.0], 0, "", 1)]
