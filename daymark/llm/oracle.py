@@ -122,6 +122,44 @@ SELECT doc_id, len(w) AS n_words, coalesce(log_score, 0) AS log_score,
 FROM lists LEFT JOIN sums USING (doc_id)
 """
 
+OP11 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+        text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS g FROM (
+        SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lists, (VALUES (1), (2), (3)) sizes(k))),
+counts AS (SELECT lang, g, k, count(*) AS f FROM grams GROUP BY lang, g, k),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+found AS (SELECT *, string_split(g, ' ') AS w FROM counts WHERE k > 1 AND f >= 10),
+longer AS (
+    SELECT lang, part, max(f) AS most FROM (
+        SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM found WHERE k = 3)
+    GROUP BY lang, part),
+parts AS (
+    SELECT lang, g, f AS a, i, array_to_string(w[1:i], ' ') AS head, array_to_string(w[i + 1 : k], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS i FROM found)),
+cuts AS (
+    SELECT parts.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+    FROM parts JOIN counts x ON x.lang = parts.lang AND x.g = head JOIN counts y ON y.lang = parts.lang AND y.g = rest),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, i) = 1),
+ranked AS (
+    SELECT best.lang, best.g AS phrase, a, l, r, score::BIGINT AS score,
+           row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(best.g)) AS rank
+    FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.part = best.g
+    WHERE best.a > 2 * coalesce(most, 0))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op1_systematic": OP1, "op5_backoff": OP5, "op8_multi_index": OP8, "op2_minmax": OP2, "op6_seeds": OP6}
+    return {
+        "op1_systematic": OP1,
+        "op5_backoff": OP5,
+        "op8_multi_index": OP8,
+        "op2_minmax": OP2,
+        "op6_seeds": OP6,
+        "op11_streams": OP11,
+    }

@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import language_model, languages, minhash, mixing, packing, quality, substrings, tokens, toxicity, vectors
+from daymark.llm import (
+    collocations,
+    language_model,
+    languages,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    substrings,
+    tokens,
+    toxicity,
+    vectors,
+)
 from daymark.llm.common import table
 
 
@@ -53,6 +65,10 @@ def op10_concatenate(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_report(table(spark, folder, "documents"))
 
 
+def op11_streams(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mined(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_systematic": op1_systematic,
@@ -65,4 +81,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_multi_index": op8_multi_index,
         "op9_rank_synchronous": op9_rank_synchronous,
         "op10_concatenate": op10_concatenate,
+        "op11_streams": op11_streams,
     }
