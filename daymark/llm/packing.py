@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daymark.llm.common import Cache, map_batches, release_caches, utf8
-from daymark.llm.pieces import byte_characters, simple_pieces
+from daymark.llm.pieces import SIMPLE_BELOW, byte_characters, simple_pieces
 from daymark.session import stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -55,9 +55,9 @@ class WordIds:
         self._pieces = Cache(self._merge, 200_000, "ids")
 
     def _encode(self, word: bytes) -> bytes:
-        if word.isalpha():  # ASCII letters: one piece, whose characters stand for themselves
-            return _packed([token.id for token in self._merges.tokenize(word.decode().lower())])
-        text = word.decode()
+        text = word.decode("utf-8", "replace")
+        if text.isalpha() and max(text) < SIMPLE_BELOW:  # one piece, without what a special string needs
+            return self._pieces["".join([c.lower() for c in text])]
         pieces = None if "<|" in text else simple_pieces(text)
         if pieces is None:
             return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)

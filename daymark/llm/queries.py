@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daymark.llm import (
+    bin_packing,
     collocations,
     language_model,
     languages,
@@ -69,6 +70,10 @@ def op11_streams(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.mined(table(spark, folder, "documents"))
 
 
+def op12_completion(spark: SparkSession, folder: str) -> DataFrame:
+    return bin_packing.packing_report(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_systematic": op1_systematic,
@@ -82,4 +87,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_rank_synchronous": op9_rank_synchronous,
         "op10_concatenate": op10_concatenate,
         "op11_streams": op11_streams,
+        "op12_completion": op12_completion,
     }
