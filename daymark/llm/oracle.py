@@ -153,6 +153,28 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
+OP13 = r"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, x.vec_id, x.label = a.label AS same, list_dot_product(a.v, x.v)::BIGINT AS score
+    FROM vectors a JOIN vectors x ON x.vec_id <> a.vec_id AND len(x.v) = len(a.v)
+    WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -162,4 +184,5 @@ def statements() -> dict[str, str]:
         "op2_minmax": OP2,
         "op6_seeds": OP6,
         "op11_streams": OP11,
+        "op13_hilbert": OP13,
     }

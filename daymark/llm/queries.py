@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymark.llm import (
     bin_packing,
     collocations,
+    hard_negatives,
     language_model,
     languages,
     minhash,
@@ -74,6 +76,17 @@ def op12_completion(spark: SparkSession, folder: str) -> DataFrame:
     return bin_packing.packing_report(table(spark, folder, "documents"))
 
 
+def op13_hilbert(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id",
+        moved.alias("label"),
+        hard_negatives.quantised("embedding").alias("vector"),
+        (F.col("vec_id") % 100 == 0).alias("anchor"),
+    )
+    return hard_negatives.mined(vectors)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_systematic": op1_systematic,
@@ -88,4 +101,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_concatenate": op10_concatenate,
         "op11_streams": op11_streams,
         "op12_completion": op12_completion,
+        "op13_hilbert": op13_hilbert,
     }
