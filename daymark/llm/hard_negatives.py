@@ -243,6 +243,11 @@ def _needed(group, blocks, same, other, least, most):
         yield group["group"], int(blocks[b]), np.flatnonzero(wanted[:, b]).tolist()
 
 
+def _numbers(count: Column) -> Column:
+    """Array of the numbers below ``count``, which is 1 or more."""
+    return F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1)
+
+
 class Index(NamedTuple):
     """Candidate blocks, their zone maps dealt to chunks, and groups of anchors; all stored."""
 
@@ -266,9 +271,8 @@ class Index(NamedTuple):
 
     def met(self, groups: DataFrame, choose: Callable, fields: list[tuple[str, pa.DataType]], schema: str) -> DataFrame:
         """Every group with every zone map, in tasks of bounded size."""
-        every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("bigint").alias(name)
-        left = groups.select("*", every(self.chunks, "chunk"))
-        right = self.zones.select("*", every(self.slots, "slot"))
+        left = groups.withColumn("chunk", F.explode(_numbers(F.lit(self.chunks))))
+        right = self.zones.withColumn("slot", F.explode(_numbers(F.lit(self.slots))))
         names, kinds = [f[0] for f in fields], [f[1] for f in fields]
         sides = left.groupBy("chunk", "slot").cogroup(right.groupBy("chunk", "slot"))
         return sides.applyInArrow(_over_zones(choose, names, kinds), schema)
@@ -371,7 +375,7 @@ def mined(vectors: DataFrame, how: Mining = Mining()) -> DataFrame:
     seeds = index.seeds(how)
 
     lowest, highest = F.lit(int(_LONG.min)), F.lit(int(_LONG.max))
-    open_windows = index.groups.select("group", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).cast("bigint").alias("i")).select(
+    open_windows = index.groups.select("group", F.explode(_numbers(F.col("n"))).alias("i")).select(
         "group", "i", F.lit(0).cast("bigint").alias("positive_id"), F.lit(True).alias("same"), lowest.alias("low"), highest.alias("high")
     )
     positives = _searched(index, open_windows, seeds, how.positives).select(
