@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -21,6 +22,8 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = b"."
 _NORMAL = bytes.maketrans(_ENDS + b"\t", _BREAK * len(_ENDS) + b" ")
 _READ_BYTES = 4 << 20
+_LOW = re.compile(rb"[\x00-\x08]")
+_RAISED = re.compile(rb",(.)", re.DOTALL)
 
 
 class Mining(NamedTuple):
@@ -37,8 +40,9 @@ class Mining(NamedTuple):
 
 # --- keys ------------------------------------------------------------------------------------------------------------
 #
-# An n-gram is the binary ``lang TAB word TAB word TAB word``, missing words empty. No word holds a tab, so all n-grams that
-# begin alike lie next to each other, a phrase before its extensions. ``back`` has the words in reverse.
+# An n-gram is the binary ``lang TAB word TAB word TAB word``, missing words empty. No word holds a tab, and the bytes below it
+# are written as a comma, which no word holds either, and a digit. So all n-grams that begin alike lie next to each other,
+# a phrase before its extensions. ``back`` has the words in reverse.
 
 
 def _escaped(lang: str | None) -> bytes:
@@ -49,6 +53,14 @@ def _unescaped(lang: bytes) -> bytes:
     return lang.replace(b"%09", b"\t").replace(b"%25", b"%")
 
 
+def _raised(text: bytes) -> bytes:
+    return _LOW.sub(lambda low: b",%d" % low[0][0], text) if _LOW.search(text) else text
+
+
+def _lowered(phrase: bytes) -> bytes:
+    return _RAISED.sub(lambda digit: bytes([int(digit[1])]), phrase) if b"," in phrase else phrase
+
+
 def _join(*parts) -> pa.Array:
     return pc.binary_join_element_wise(*parts, b"\t")
 
@@ -64,7 +76,7 @@ def _parts(keys: pa.Array) -> list[pa.Array]:
 
 def tokens(text: bytes) -> Iterator[list[bytes]]:
     """Words with A-Z in lower case, and a break for every character that ends a piece, a few megabytes at a time."""
-    text, start = text.lower().translate(_NORMAL), 0  # bytes.lower() changes A-Z only
+    text, start = _raised(text.lower().translate(_NORMAL)), 0  # bytes.lower() changes A-Z only
     while start < len(text):
         end = text.find(b" ", start + _READ_BYTES)
         end = len(text) if end < 0 else end
@@ -262,7 +274,7 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 cuts = [(row["first"], row["last"])]
             scores = [_LOWEST_SCORE * a * a // (left * right) for left, right in cuts]
             k = scores.index(min(scores))
-            out.append((_unescaped(lang), b" ".join(filter(None, words)), a, *cuts[k], scores[k]))
+            out.append((_unescaped(lang), _lowered(b" ".join(filter(None, words))), a, *cuts[k], scores[k]))
         columns = list(zip(*out)) if out else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
 
