@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daymark.llm.common import Cache, map_batches, release_caches, utf8
-from daymark.llm.pieces import SIMPLE_BELOW, byte_characters, simple_pieces
+from daymark.llm.pieces import byte_characters, simple_pieces
 from daymark.session import stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,7 +34,7 @@ _BYTES = dict(enumerate(byte_characters()))
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return array("I", ids).tobytes()
 
 
 class WordIds:
@@ -55,16 +55,20 @@ class WordIds:
         self._pieces = Cache(self._merge, 200_000, "ids")
 
     def _encode(self, word: bytes) -> bytes:
+        # Letters are one piece; ASCII letters and one more ASCII character are two.
+        if word.isalpha():
+            return self._pieces[word.lower().decode()]
+        if word[:-1].isalpha() and word[-1] < 0x80:
+            return self._pieces[word[:-1].lower().decode()] + self._pieces[chr(word[-1])]
         text = word.decode("utf-8", "replace")
-        if text.isalpha() and max(text) < SIMPLE_BELOW:  # one piece, without what a special string needs
-            return self._pieces["".join([c.lower() for c in text])]
         pieces = None if "<|" in text else simple_pieces(text)
         if pieces is None:
             return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self._pieces.__getitem__, pieces))
 
     def _merge(self, piece: str) -> bytes:
-        characters = piece.encode().decode("latin-1").translate(_BYTES)
+        plain = piece.isascii() and piece.isalnum()  # its characters stand for themselves
+        characters = piece if plain else piece.encode().decode("latin-1").translate(_BYTES)
         return _packed([token.id for token in self._merges.tokenize(characters)])
 
     def __call__(self, text: bytes | None) -> bytes:

@@ -10,14 +10,14 @@ import regex
 
 # Printable pieces of the vocabulary's pattern; case is folded before.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
-SIMPLE_BELOW = "ɐ"
+_BEYOND = "ɐ"
 
 
 def simple_pieces(text: str) -> list[str] | None:
     """Pieces in lower case; None if the library has to be asked."""
     if text.isascii():
         return _PIECE.findall(text.lower())
-    if max(text) < SIMPLE_BELOW:
+    if max(text) < _BEYOND:
         # Character by character, because lower() looks at neighbours.
         return _PIECE.findall("".join([c.lower() for c in text]))
     return None

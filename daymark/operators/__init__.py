@@ -1,19 +1,17 @@
 from daymark.operators.aggregates import distinct_rows, labelled_sum
-from daymark.operators.joins import Side, join_sources
+from daymark.operators.joins import Side, join_sources, split_left_join
 from daymark.operators.latest import latest_per_key
-from daymark.operators.skew import ROWS_PER_TASK, spread_left_join
 from daymark.operators.snapshot import snapshot_at
 from daymark.operators.unions import stack, union_distinct
 
 __all__ = [
     "Side",
-    "ROWS_PER_TASK",
     "distinct_rows",
     "join_sources",
     "labelled_sum",
     "latest_per_key",
     "snapshot_at",
-    "spread_left_join",
+    "split_left_join",
     "stack",
     "union_distinct",
 ]

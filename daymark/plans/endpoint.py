@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from daymark import constants as C
 from daymark.functions import entity_key, finished_label, initcap, phase_label, title_season_name
 from daymark.operators import (
-    ROWS_PER_TASK,
     Side,
     distinct_rows,
     join_sources,
@@ -75,7 +74,7 @@ def views_launched(tables: Tables) -> DataFrame:
 
 
 def launched(
-    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS, rows_per_task: int = ROWS_PER_TASK
+    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS
 ) -> DataFrame:
     """Launched titles, each row once: the measured value if there is one, else the forecast.
 
@@ -98,7 +97,6 @@ def launched(
             Side(view_forecast.withColumnRenamed("phase", "phase_forecast"), ["match_id"], ["match_id"], unique=True),
             Side(sums, by_season, by_season),
         ],
-        rows_per_task,
     )
     rows = joined.withColumns(
         {
@@ -156,7 +154,7 @@ def view_future(tables: Tables, day: int = C.HORIZON_DAY, dated: bool = True) ->
 
 
 def future(
-    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS, rows_per_task: int = ROWS_PER_TASK
+    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS
 ) -> DataFrame:
     """Future titles, each row once, joined to their forecasts by the suffixed name as stored."""
     active = active_future(tables, horizon).withColumnRenamed("phase", "phase_active")
@@ -169,7 +167,6 @@ def future(
             Side(active, ["title_name_season"], ["title_name"], unique=True),
             Side(view, ["title_name_season"], ["title_name"]),
         ],
-        rows_per_task,
     )
     # No distinct: the group keys of views_future make its rows unique, they survive in the result (the stored name in
     # title_name_season), and the sides add at most one row per distinct value.
@@ -196,7 +193,7 @@ def result_columns(horizon: int = C.HORIZON_DAY) -> list[str]:
 
 
 def build_endpoint(
-    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS, rows_per_task: int = ROWS_PER_TASK
+    tables: Tables, horizon: int = C.HORIZON_DAY, title_delimiters: str | None = C.WORD_ENDS
 ) -> DataFrame:
     """The result table, every row once, unsorted.
 
@@ -204,7 +201,7 @@ def build_endpoint(
     has. Stacking them is therefore the de-duplicating union, without its shuffle of the whole result.
     """
     return stack(
-        launched(tables, horizon, title_delimiters, rows_per_task),
-        future(tables, horizon, title_delimiters, rows_per_task),
+        launched(tables, horizon, title_delimiters),
+        future(tables, horizon, title_delimiters),
         result_columns(horizon),
     )

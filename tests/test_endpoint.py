@@ -12,6 +12,7 @@ from daymark.plans import build_endpoint, future, launched
 from daymark.plans.endpoint import result_columns
 from daymark.sources import RESULT_SCHEMA, SCHEMAS, conform, from_catalog, from_parquet
 from tests import golden
+from tests.plans import settings
 
 
 @pytest.fixture(scope="module")
@@ -33,8 +34,9 @@ def test_golden_rows(spark, stored):
     assert [(f.name, f.dataType) for f in result.schema] == [(f.name, f.dataType) for f in RESULT_SCHEMA]
 
 
-def test_golden_rows_with_every_key_split(spark, stored):
-    rows = rows_of(build_endpoint(from_parquet(spark, stored), rows_per_task=1))
+def test_golden_rows_without_broadcasts(spark, stored):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        rows = rows_of(build_endpoint(from_parquet(spark, stored)))
     assert len(rows) == len(golden.EXPECTED)
     assert set(rows) == golden.EXPECTED
 
@@ -223,16 +225,18 @@ def restated(inputs):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 2])
-def test_random_inputs(spark, tmp_path, seed, rows_per_task):
+@pytest.mark.parametrize("broadcasts", [True, False])
+def test_random_inputs(spark, tmp_path, seed, broadcasts):
     inputs = random_inputs(seed)
     golden.write_inputs(spark, str(tmp_path / "inputs"), inputs, files=3)
     tables = from_parquet(spark, str(tmp_path / "inputs"))
-    rows = rows_of(build_endpoint(tables, rows_per_task=rows_per_task))
+    limits = {} if broadcasts else dict.fromkeys(["spark__sql__autoBroadcastJoinThreshold", "spark__sql__adaptive__autoBroadcastJoinThreshold"], "-1")
+    with settings(spark, **limits):
+        rows = rows_of(build_endpoint(tables))
     expected = restated(inputs)
     assert len(rows) == len(set(rows)), "the endpoint holds a row twice"
     assert set(rows) == expected
     assert future(tables).where("title_id IS NOT NULL OR match_id IS NOT NULL").isEmpty()
-    if rows_per_task > 2:
+    if broadcasts:
         generic = rows_of(union_distinct(launched(tables), future(tables), RESULT_SCHEMA.names))
         assert len(generic) == len(rows) and set(generic) == expected
