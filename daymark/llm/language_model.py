@@ -24,7 +24,7 @@ class Backoff(NamedTuple):
 
     penalty: float = 0.4
     least_count: int = 2
-    block_words: int = 2_500_000
+    block_words: int = 1_000_000
     part_grams: int = 2_000_000
     units: int = 1_000_000
 
@@ -38,14 +38,23 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
+def packed_planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte of all of them, compressed: the upper bytes are mostly alike."""
+    return packed(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T))
+
+
+def unpacked_planes(data: bytes, kind: type) -> np.ndarray:
+    planes = unpacked(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def packed_sorted(x: np.ndarray) -> bytes:
-    """Ascending numbers as their compressed differences, byte by byte of all of them: the upper bytes are mostly zero."""
-    return packed(np.ascontiguousarray(np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T))
+    """Ascending numbers as their compressed differences."""
+    return packed_planes(np.diff(x, prepend=np.uint64(0)))
 
 
 def unpacked_sorted(data: bytes) -> np.ndarray:
-    planes = unpacked(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(unpacked_planes(data, np.uint64), dtype=np.uint64)
 
 
 _BLOCK = "block bigint, ids array<bigint>, lengths binary, places binary, words binary, n_words bigint"
@@ -57,7 +66,7 @@ def blocks(docs: DataFrame, how: Backoff) -> DataFrame:
     def block(number: int, ids: list, hashes: list[np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(h) for h in hashes], np.int64)
         words, places = np.unique(np.concatenate(hashes), return_inverse=True)
-        binaries = [packed(lengths), packed(places.astype(np.uint32)), words.tobytes()]
+        binaries = [packed(lengths), packed_planes(places.astype(np.uint32)), packed_sorted(words)]
         columns = [pa.array([number]), pa.array([ids], pa.list_(pa.int64())), *(pa.array([b]) for b in binaries)]
         names = ["block", "ids", "lengths", "places", "words", "n_words"]
         return pa.RecordBatch.from_arrays([*columns, pa.array([int(lengths.sum())])], names)
@@ -79,24 +88,38 @@ def blocks(docs: DataFrame, how: Backoff) -> DataFrame:
     return stored(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _BLOCK))
 
 
+_SLICE = 1 << 18  # words of a block that are worked on at a time
+
+
 class Block(NamedTuple):
-    """A block's words as places among its different words, and where a bigram begins."""
+    """A block's words as places among its different words, and whether they begin a document."""
 
     lengths: np.ndarray
     places: np.ndarray
     words: np.ndarray
-    begins: np.ndarray
+    first: np.ndarray
 
     @classmethod
     def of(cls, lengths: bytes, places: bytes, words: bytes) -> Block:
-        sizes, at = unpacked(lengths, np.int64), unpacked(places, np.uint32)
-        begins = np.ones(len(at), bool)
-        begins[np.cumsum(sizes[sizes > 0]) - 1] = False  # a document's last word begins no bigram
-        return cls(sizes, at, np.frombuffer(words, np.uint64), np.flatnonzero(begins))
-
-    def bigrams(self) -> np.ndarray:
-        """A hash per bigram."""
-        return gram_hashes(self.words[self.places], 2)[self.begins] if len(self.begins) else np.empty(0, np.uint64)
+        sizes, at = unpacked(lengths, np.int64), unpacked_planes(places, np.uint32)
+        first = np.zeros(len(at), bool)
+        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        return cls(sizes, at, unpacked_sorted(words), first)
+
+    def bigrams(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words from ``start`` to ``end`` that end a bigram, and its hash."""
+        at = np.flatnonzero(~self.first[start:end]) + start
+        before = max(start - 1, 0)
+        return at, gram_hashes(self.words[self.places[before:end]], 2)[at - before - 1]
+
+    def all_bigrams(self) -> np.ndarray:
+        """The hash of every bigram, a slice at a time."""
+        hashes, size = np.empty(int((~self.first).sum()), np.uint64), 0
+        for start in range(0, len(self.places), _SLICE):
+            _, some = self.bigrams(start, start + _SLICE)
+            hashes[size : size + len(some)] = some
+            size += len(some)
+        return hashes
 
 
 def _asked(parts: int):
@@ -116,18 +139,20 @@ def _asked(parts: int):
         return pa.RecordBatch.from_arrays(columns, ["part", "block", "size", "grams", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches("numbers")
         for batch in batches:
             for i in range(batch.num_rows):
                 number, *rest = (batch.column(c)[i].as_py() for c in range(4))
                 own = Block.of(*rest)
                 yield rows(number, 1, own.words, np.bincount(own.places, minlength=len(own.words)))
-                yield rows(number, 2, *np.unique(own.bigrams(), return_counts=True))
+                yield rows(number, 2, *np.unique(own.all_bigrams(), return_counts=True))
 
     return run
 
 
 def _counted(asked: pa.Table) -> pa.Table:
     """The count table of one range of hashes, joined to the blocks that asked: a count per n-gram of each row."""
+    release_caches("numbers")
     sizes, grams, counts = asked["size"].to_numpy(), asked["grams"].to_pylist(), asked["counts"].to_pylist()
     answers: list = [None] * len(sizes)
     for size in np.unique(sizes):
@@ -144,8 +169,25 @@ def _counted(asked: pa.Table) -> pa.Table:
     )
 
 
+def _terms(own: Block, alone: np.ndarray, together: np.ndarray, total: int, how: Backoff) -> np.ndarray:
+    """The rounded logarithm of each word of a block, from the counts of its different words and bigrams."""
+    terms, grams = np.empty(len(own.places), np.int64), np.unique(own.all_bigrams())
+    for start in range(0, len(terms), _SLICE):
+        end = min(start + _SLICE, len(terms))
+        factors = np.where(own.first[start:end], 1.0, how.penalty)
+        logs = np.log(factors * alone[own.places[start:end]] / total)
+        at, hashes = own.bigrams(start, end)
+        pairs = together[np.searchsorted(grams, hashes)]
+        often = pairs >= how.least_count
+        at = at[often]
+        logs[at - start] = np.log(pairs[often] / alone[own.places[at - 1]])
+        terms[start:end] = np.rint(logs * how.units)
+    return terms
+
+
 def _scored(total: int, how: Backoff):
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
+        release_caches("numbers")
         ids, lengths, scores = [], [], []
         for i in range(block.num_rows):
             own = Block.of(*(block[c][i].as_py() for c in ("lengths", "places", "words")))
@@ -160,17 +202,7 @@ def _scored(total: int, how: Backoff):
                 of_size = ordered.filter(pa.compute.equal(ordered["size"], size))
                 parts = [unpacked(totals, np.uint64) for totals in of_size["totals"].to_pylist()]
                 by_size[size] = np.concatenate([by_size[size], *parts])
-            alone = by_size[1][own.places].astype(float)
-            logs = np.log(alone / total)
-            backed_off = np.ones(len(logs), bool)
-            backed_off[(np.cumsum(own.lengths) - own.lengths)[own.lengths > 0]] = False  # first words
-            logs[backed_off] = np.log(how.penalty * alone[backed_off] / total)
-            _, number = np.unique(own.bigrams(), return_inverse=True)
-            together = by_size[2][number].astype(float) if len(number) else np.empty(0)
-            often = together >= how.least_count
-            first = own.begins[often]
-            logs[first + 1] = np.log(together[often] / alone[first])
-            sums = np.concatenate([[0], np.cumsum(np.rint(logs * how.units).astype(np.int64))])
+            sums = np.concatenate([[0], np.cumsum(_terms(own, by_size[1], by_size[2], total, how))])
             ends = np.cumsum(own.lengths)
             scores.append(sums[ends] - sums[ends - own.lengths])
         n, s = np.concatenate(lengths), np.concatenate(scores)
