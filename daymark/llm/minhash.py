@@ -22,7 +22,7 @@ class MinMax(NamedTuple):
     ``bands * rows`` values take half as many permutations. At 0.85 a pair is missed once in two million.
 
     Members of a bucket that its smallest id does not link are compared by a longer signature first, ``sketch`` values of
-    one byte; pairs more than ``margin`` standard deviations below the threshold (one in three million at it) are left
+    one bit; pairs more than ``margin`` standard deviations below the threshold (one in three million at it) are left
     out. ``block``: members of a bucket that meet in one task at a time.
     """
 
@@ -32,13 +32,13 @@ class MinMax(NamedTuple):
     rows: int = 5
     sketch: int = 1024
     margin: float = 5.0
-    block: int = 2048
+    block: int = 1024
     seed: int = 1
 
     @property
     def least_equal(self) -> int:
-        """Values of two sketches that must be equal."""
-        wanted = self.per_cent / 100
+        """Bits of two sketches that must be equal; half of the bits of unequal values are."""
+        wanted = (1 + self.per_cent / 100) / 2
         return int(self.sketch * wanted - self.margin * (self.sketch * wanted * (1 - wanted)) ** 0.5)
 
 
@@ -195,8 +195,9 @@ def _apart(buckets: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
 def _sketch(how: MinMax):
     def rows(batch: pa.RecordBatch):
         sets = [shingle_set(text, how.shingle_words) for text in utf8(batch.column(1))]
-        values = [mix(extremes(x, how.sketch, how.seed + 3)).astype(np.uint8).tobytes() for x in sets]
-        yield {"doc_id": batch.column(0), "sketch": values, "bands": [signature(x, how).tobytes() for x in sets]}
+        bits = [np.packbits((mix(extremes(x, how.sketch, how.seed + 3)) & np.uint64(1)).astype(bool)) for x in sets]
+        bands = [signature(x, how).astype(np.uint32).tobytes() for x in sets]
+        yield {"doc_id": batch.column(0), "sketch": [b.tobytes() for b in bits], "bands": bands}
 
     return rows
 
@@ -206,21 +207,22 @@ def _likely_pairs(how: MinMax, top: int | None):
 
     Rows come block by block, the left ones first. A pair that shares several bands is given by the first of them alone
     (all buckets with both are split between their components, so that one is here too), and two left rows by the
-    smaller id. ``top``: for each left row only that many, the most alike ones.
+    smaller id. Bands are told apart by 32 of their bits: two that a pair does not share look shared once in four
+    billion. ``top``: for each left row only that many, the most alike ones.
     """
 
     def pairs(block: pa.Table) -> pa.RecordBatch:
         ids, sizes, parts = (block[c].to_numpy() for c in ("doc_id", "n_shingles", "component"))
-        sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(ids), how.sketch)
-        bands = np.frombuffer(b"".join(block["bands"].to_pylist()), np.int64).reshape(len(ids), how.bands)
-        this_band, minor = block["band"][0].as_py(), block["minor"].to_numpy()
+        sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        bands = np.frombuffer(b"".join(block["bands"].to_pylist()), np.uint32).reshape(len(ids), how.bands)
+        this_band, minor = block["band"][0].as_py() & 0xFFFFFFFF, block["minor"].to_numpy()
         right = block["side"].to_numpy() == 1
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in np.flatnonzero(~right):
             able = right & (parts != parts[i]) & (~minor | (ids > ids[i]))
             able &= 100 * np.minimum(sizes, sizes[i]) >= how.per_cent * np.maximum(sizes, sizes[i])
             others = np.flatnonzero(able)
-            equal = (sketches[others] == sketches[i]).sum(1)
+            equal = how.sketch - np.bitwise_count(sketches[others] ^ sketches[i]).sum(1, dtype=np.int64)
             others, equal = others[equal >= how.least_equal], equal[equal >= how.least_equal]
             first_shared = bands[i][(bands[others] == bands[i]).argmax(1)]
             others, equal = others[first_shared == this_band], equal[first_shared == this_band]
