@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.session import ensure_checkpoint_dir
+from daymark.session import fresh_folder, remove_folder, scratch, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,16 +14,24 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: every node is linked to the smallest neighbour instead of to each
     other, until the edges are stars around the smallest ids. Both steps are a minimum per key, which combines before
     the shuffle, and a join with one row per key, so that a node with very many edges is no single task's work. The
-    number of rounds grows with the logarithm of a component's diameter. Each round is checkpointed.
+    number of rounds grows with the logarithm of a component's diameter. Each round is written to the shared folder, and
+    what it was made of is removed then.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    stars = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-    stars = stars.checkpoint()
+    spark = edges.sparkSession
+    edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    path = fresh_folder(spark, "stars")
+    edges.write.parquet(path)
+    stars = spark.read.schema(edges.schema).parquet(path)
     state = _state(stars)
     while state[0]:
-        stars = _small_star(_large_star(stars).checkpoint()).checkpoint()
-        state, before = _state(stars), state
-        if state == before:
+        before, last = path, state
+        path = fresh_folder(spark, "stars")
+        with scratch(spark):
+            _small_star(stored(_large_star(stars))).write.parquet(path)
+        stars = spark.read.schema(stars.schema).parquet(path)
+        remove_folder(spark, before)
+        state = _state(stars)
+        if state == last:
             break
     centres = stars.select(F.col("a").alias("id"), F.col("a").alias("component"))
     return centres.union(stars.select(F.col("b").alias("id"), F.col("a").alias("component"))).distinct()
@@ -37,12 +45,12 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of each node are linked to the smallest of its neighbours and itself."""
     ways = edges.union(edges.select("b", "a")).toDF("u", "v")
-    smallest = ways.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).checkpoint()
-    return ways.where("v > u").join(smallest, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+    smallest = ways.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    return ways.where("v > u").join(stored(smallest), "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and the node, are linked to the smallest of them."""
-    smallest = edges.groupBy("b").agg(F.min("a").alias("m")).checkpoint()
+    smallest = stored(edges.groupBy("b").agg(F.min("a").alias("m")))
     moved = edges.join(smallest, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a < b")
     return moved.union(smallest.select(F.col("m").alias("a"), "b")).distinct()
