@@ -6,12 +6,12 @@ import argparse
 import logging
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from daymark import constants as C
 from daymark.plans import build_endpoint
 from daymark.session import apply_unless_set, folder_bytes, fresh_folder, remove_folder, shuffle_settings
-from daymark.sinks import by_start_date, publish_version
+from daymark.sinks import by_start_date, publish_version, swap_table
 from daymark.sources import SCHEMAS, from_catalog, from_parquet
 
 
@@ -20,7 +20,9 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     options.add_argument("--inputs", help="folder with one Parquet file or folder per input; default: catalog tables")
     options.add_argument("--table", action="append", default=[], metavar="INPUT=NAME", help="catalog name of an input")
     options.add_argument("--root", required=True, help="folder that holds the versions of the result")
-    options.add_argument("--view", default="endpoint_metrics", help="view to point at the new version")
+    target = options.add_mutually_exclusive_group()
+    target.add_argument("--view", default="endpoint_metrics", help="view to point at the new version")
+    target.add_argument("--replace", metavar="TABLE", help="external table to replace under its own name instead")
     options.add_argument("--horizon", type=int, default=C.HORIZON_DAY, help="day of the measured and forecast values")
     options.add_argument("--title-delimiters", default=C.WORD_ENDS, help="characters that end a word in title case")
     options.add_argument("--unsorted", action="store_true", help="publish the rows in the order they come")
@@ -50,15 +52,21 @@ def main(argv: list[str] | None = None) -> str:
         tables = from_catalog(spark, chosen.table)
     started = time.monotonic()
     endpoint = build_endpoint(tables, chosen.horizon, chosen.title_delimiters)
+
+    def publish(rows: DataFrame) -> str:
+        if chosen.replace:
+            return swap_table(rows, chosen.replace, chosen.root)
+        return publish_version(rows, chosen.root, chosen.view)
+
     if chosen.unsorted:
-        path = publish_version(endpoint, chosen.root, chosen.view)
+        path = publish(endpoint)
     else:
         # A range sort reads its input twice, so the joins are stored first.
         stage = fresh_folder(spark, "endpoint")
         try:
             endpoint.write.parquet(stage)
             rows = spark.read.schema(endpoint.schema).parquet(stage)
-            path = publish_version(by_start_date(rows), chosen.root, chosen.view)
+            path = publish(by_start_date(rows))
         finally:
             remove_folder(spark, stage)
     logging.getLogger(__name__).info("published %s after %.1f seconds", path, time.monotonic() - started)

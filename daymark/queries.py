@@ -14,7 +14,7 @@ from daymark.operators import Side, join_sources, union_distinct
 from daymark.plans import build_endpoint, future, launched, run_file
 from daymark.plans import endpoint as stages
 from daymark.session import fresh_folder
-from daymark.sinks import by_start_date, replace_table, write_csv_indexed
+from daymark.sinks import by_start_date, swap_table, write_csv_indexed
 from daymark.sources import RESULT_SCHEMA, Tables
 from daymark.sources.driver_tables import DriverTables, driver_tables
 
@@ -146,11 +146,12 @@ def parametrised_query(t: Tables) -> DataFrame:
 
 
 def replace_and_read_back(t: Tables) -> DataFrame:
-    """The table first holds the future arm, then is replaced by the whole endpoint."""
+    """The table first holds the future arm, then is replaced under its own name by the whole endpoint."""
     spark = t.entity_base.sparkSession
     name = "daymark_endpoint_metrics"
-    replace_table(future(t), name, path=fresh_folder(spark, "endpoint"))
-    replace_table(by_start_date(build_endpoint(t)), name, path=fresh_folder(spark, "endpoint"))
+    root = fresh_folder(spark, "endpoint")
+    swap_table(future(t), name, root)
+    swap_table(by_start_date(build_endpoint(t)), name, root)
     return spark.table(name)
 
 

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,7 +31,7 @@ def replace_table(
 
     ``atomic`` asks the table's catalog to replace it under its own name, all or nothing; readers see the old rows until
     the new ones are whole. Catalogs that cannot do that refuse. Without it ``df`` must not read the table it replaces,
-    and readers may see the table missing; ``publish_version`` has neither limit in any catalog.
+    and readers may see the table missing; ``swap_table`` and ``publish_version`` have neither limit.
     """
     rows = df if sort is None else df.orderBy(*sort)
     if atomic:
@@ -45,14 +45,63 @@ def replace_table(
     writer.saveAsTable(name)
 
 
+def swap_table(df: DataFrame, name: str, root: str) -> str:
+    """Replace the rows of the external Parquet table ``name`` by those of ``df``, under its own name, in one metadata step.
+
+    The rows are written to a new folder below ``root`` first; then the table's place is set to it. Readers that start
+    before that step see the old rows, later ones the new, and none finds the table missing. A job that fails leaves the
+    table as it was, and the plan may read the table it replaces. The table is made if there is none. Its columns must be
+    those of ``df``, in this order; it may be neither managed, since the catalog owns the folder of such a table, nor
+    partitioned. Returns the new folder; the old one is left to the storage's retention rules.
+    """
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(name)
+    old = _external_place(spark, name, df) if exists else None
+    path = _new_version(root, name.replace("`", "").rpartition(".")[2])
+    df.write.mode("errorifexists").parquet(path)
+    if not exists:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)}")
+        return path
+    try:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(path)}")
+        spark.catalog.refreshTable(name)
+    except Exception:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(old)}")
+        spark.catalog.refreshTable(name)
+        raise
+    return path
+
+
+def _external_place(spark: SparkSession, name: str, df: DataFrame) -> str:
+    """Where the table lies, after a check that it can be pointed at rows like those of ``df``."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()  # a row per column and property
+    about = {row["col_name"]: row["data_type"] for row in described}
+    if about.get("Type") != "EXTERNAL" or about.get("Provider", "").lower() != "parquet":
+        raise ValueError(f"{name} is no external Parquet table: {about.get('Type')}, {about.get('Provider')}")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        raise ValueError(f"{name} is partitioned: its partitions have places of their own")
+    held = [(field.name, field.dataType) for field in spark.table(name).schema]
+    if held != [(field.name, field.dataType) for field in df.schema]:
+        raise ValueError(f"{name} has other columns than the rows that are to replace its own")
+    return about["Location"]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _new_version(root: str, name: str) -> str:
+    now = datetime.now(UTC).strftime("%Y%m%dT%H%M%S")
+    return f"{root}/{name}/version={now}-{uuid.uuid4().hex[:12]}"
+
+
 def publish_version(df: DataFrame, root: str, view: str) -> str:
     """Write ``df`` as a new version below ``root`` and only then point ``view`` at it; returns the version's path.
 
     A job that fails leaves the view on the version before, and the plan may read that version. The version's name begins
     with its time (UTC); the live one is the one the view's definition names, which need not be the newest folder.
     """
-    now = datetime.now(UTC).strftime("%Y%m%dT%H%M%S")
-    path = f"{root}/{view}/version={now}-{uuid.uuid4().hex[:12]}"
+    path = _new_version(root, view)
     df.write.mode("errorifexists").parquet(path)
     columns = ", ".join(f"`{column}`" for column in df.columns)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{path}`")

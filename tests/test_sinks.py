@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import csv
 import random
+import threading
+import time
 from datetime import date
 from pathlib import Path
 
@@ -12,10 +14,12 @@ from pyspark.sql import functions as F
 
 from daymark.job import main
 from daymark.plans import build_endpoint
+from daymark.queries import SNAPSHOT_SQL
 from daymark.session import fresh_folder, scratch, shared_folder, shuffle_settings, stored
-from daymark.sinks import by_start_date, publish_version, replace_table, write_csv_indexed
+from daymark.sinks import by_start_date, publish_version, replace_table, swap_table, write_csv_indexed
 from daymark.sinks.csv import with_row_index
 from daymark.sources import SCHEMAS, from_catalog, from_parquet, from_values
+from daymark.statement import main as run_statement
 from daymark.timing import elapsed
 from tests import golden
 from tests.plans import settings
@@ -73,6 +77,113 @@ def test_replace_table(spark, tmp_path):
     spark.sql("DROP TABLE replaced_endpoint")
 
 
+def place_of(spark, table):
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return {row["col_name"]: row["data_type"] for row in described}["Location"]
+
+
+def test_swap_table_is_never_missing_and_never_half(spark, tmp_path):
+    """A reader in a loop meets whole versions only, while the table is replaced under its own name."""
+    name, root = "swapped_numbers", str(tmp_path / "it's here")
+    swap_table(spark.range(1000).select(F.lit(0).alias("version"), F.col("id")), name, root)
+    seen, failures, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                (row,) = spark.table(name).agg(F.min("version"), F.max("version"), F.count("*")).collect()
+                seen.add(tuple(row))
+            except Exception as error:
+                failures.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for version in range(1, 5):
+        rows = spark.range(1000 + version).select(F.lit(version).alias("version"), F.col("id"))
+        path = swap_table(rows, name, root)
+        assert place_of(spark, name).removeprefix("file:").rstrip("/") == path
+    time.sleep(0.5)
+    done.set()
+    reader.join()
+    spark.sql(f"DROP TABLE {name}")
+    assert not failures
+    assert len(seen) > 1 and seen <= {(version, version, 1000 + version) for version in range(5)}
+
+
+def test_swap_table_keeps_the_old_rows_of_a_failed_job(spark, tmp_path, monkeypatch):
+    name, root = "swapped_or_not", str(tmp_path / "versions")
+    swap_table(spark.range(3).toDF("n"), name, root)
+    swap_table(spark.table(name).withColumn("n", F.col("n") + 10), name, root)  # may read what it replaces
+    old = place_of(spark, name)
+    broken = spark.table(name).withColumn("n", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        swap_table(broken, name, root)
+    with monkeypatch.context() as patch:  # the metadata step goes through, the refresh does not, once
+        refresh, calls = type(spark.catalog).refreshTable, []
+
+        def fail_once(catalog, table):
+            calls.append(table)
+            if len(calls) == 1:
+                raise RuntimeError("no refresh")
+            return refresh(catalog, table)
+
+        patch.setattr(type(spark.catalog), "refreshTable", fail_once)
+        with pytest.raises(RuntimeError, match="no refresh"):
+            swap_table(spark.range(7).toDF("n"), name, root)
+        assert len(calls) == 2
+    assert place_of(spark, name) == old
+    assert sorted(rows_of(spark.table(name))) == [(10,), (11,), (12,)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_swap_table_refuses_tables_it_cannot_point_elsewhere(spark, tmp_path):
+    rows, root = spark.range(3).toDF("n"), str(tmp_path / "versions")
+    swap_table(rows, "swap_external", root)
+    with pytest.raises(ValueError, match="other columns"):
+        swap_table(rows.withColumn("m", F.lit(1)), "swap_external", root)
+    with pytest.raises(ValueError, match="other columns"):
+        swap_table(rows.select(F.col("n").cast("int")), "swap_external", root)
+    by_part = spark.range(3).select("id", (F.col("id") % 2).alias("part"))
+    by_part.write.partitionBy("part").option("path", str(tmp_path / "parts")).saveAsTable("swap_parts")
+    with pytest.raises(ValueError, match="partitioned"):
+        swap_table(by_part, "swap_parts", root)
+    rows.write.format("json").option("path", str(tmp_path / "json")).saveAsTable("swap_json")
+    with pytest.raises(ValueError, match="no external Parquet table"):
+        swap_table(rows, "swap_json", root)
+    for table in ["swap_external", "swap_parts", "swap_json"]:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_job_replaces_a_table_under_its_own_name(spark, tmp_path, unchanged_settings):
+    golden.write_inputs(spark, str(tmp_path / "in"))
+    arguments = ["--inputs", str(tmp_path / "in"), "--root", str(tmp_path / "out"), "--replace", "job_table"]
+    places = {main(arguments), main([*arguments, "--unsorted"])}
+    assert len(places) == 2 and place_of(spark, "job_table").removeprefix("file:") in places
+    assert set(rows_of(spark.table("job_table"))) == golden.EXPECTED
+    spark.sql("DROP TABLE job_table")
+
+
+def test_statement_file_becomes_a_table(spark, tmp_path, caplog):
+    golden.write_inputs(spark, str(tmp_path / "in"))
+    common = [str(SNAPSHOT_SQL), "--input", f"snapshot={tmp_path}/in/active_snapshot", "--text", "snapshot=snapshot"]
+    common += ["--root", str(tmp_path / "out")]
+    wanted = rows_of(spark.read.parquet(f"{tmp_path}/in/active_snapshot").where("days_on_platform = 28"))
+    with caplog.at_level("INFO", "daymark.statement"):
+        run_statement([*common, "--arg", "day=28", "--replace", "statement_table"])
+    assert "seconds" in caplog.text
+    assert spark.table("statement_table").columns == ["match_id", "activepct"]
+    assert len(wanted) and sorted(rows_of(spark.table("statement_table")), key=str) == sorted(
+        [row[:2] for row in wanted], key=str
+    )
+    run_statement([*common, "--arg", "day=-1", "--view", "statement_view"])
+    assert rows_of(spark.table("statement_view")) == []
+    spark.sql("DROP TABLE statement_table")
+    spark.sql("DROP VIEW statement_view")
+    for wrong in [["--arg", "day"], ["--arg", "day=1", "--text", "day=1"]]:
+        with pytest.raises(SystemExit):
+            run_statement([*common, *wrong, "--view", "statement_view"])
+
+
 def test_publish_version_keeps_the_old_one_until_the_new_one_is_whole(spark, tmp_path):
     root, view = str(tmp_path / "versions"), "published_numbers"
     publish_version(spark.range(3).toDF("n"), root, view)
