@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymark.session import ensure_checkpoint_dir
@@ -18,7 +17,7 @@ def with_row_index(df: DataFrame, order_by: Sequence[Column | str], index: str =
     """``df`` in the given order, led by a gapless row number from 0.
 
     The sort leaves ordered ranges, one per partition. They are checkpointed, which fixes which row is where; a range's
-    first number is then the number of rows in the ranges before it. Only one count per partition reaches the driver.
+    first number is then the number of rows in the ranges before it, a running sum over one row per partition.
     ``order_by`` should decide between any two rows that differ, both for a stable numbering and to keep ranges even.
     """
     spark = df.sparkSession
@@ -30,12 +29,10 @@ def with_row_index(df: DataFrame, order_by: Sequence[Column | str], index: str =
             "_position": F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
         }
     )
-    sizes = sorted((row["_range"], row["count"]) for row in placed.groupBy("_range").count().collect())
-    starts = [0, *accumulate(size for _, size in sizes)]
-    table = spark.createDataFrame(
-        [(number, start) for (number, _), start in zip(sizes, starts)], "_range int, _start bigint"
-    )
-    numbered = placed.join(F.broadcast(table), "_range")  # one row per partition
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")
+    starts = placed.groupBy("_range").count().select("_range", start)
+    numbered = placed.join(F.broadcast(starts), "_range")  # one row per partition
     return numbered.select((F.col("_start") + F.col("_position")).alias(index), *df.columns)
 
 
