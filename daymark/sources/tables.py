@@ -126,6 +126,19 @@ def from_parquet(spark: SparkSession, root: str) -> Tables:
     return Tables(**{name: conform(spark.read.parquet(f"{root}/{name}"), name) for name in SCHEMAS})
 
 
+# What forecasts are laid out by: the endpoint needs one target day, and each of its picks some phases.
+FORECAST_LAYOUT = ["target_day", "phase"]
+
+
+def write_forecasts(df: DataFrame, path: str) -> None:
+    """A forecast table in folders by target day and phase, so that the endpoint opens those of its day only.
+
+    Rows are rebalanced by both, not shuffled to a task per folder: AQE splits a folder that holds much into several tasks
+    and puts several small ones into one. NULLs get folders of their own and come back as NULL.
+    """
+    df.hint("rebalance", *[F.col(c) for c in FORECAST_LAYOUT]).write.partitionBy(*FORECAST_LAYOUT).parquet(path)
+
+
 def from_catalog(spark: SparkSession, names: Mapping[str, str]) -> Tables:
     """Inputs held in the session's catalog; ``names`` maps an input to its (one- to three-part) table name."""
     if unknown := set(names) - set(SCHEMAS):
