@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from daymark import constants as C
 from daymark.functions import entity_key, finished_label, initcap, lowercase_columns, phase_label, title_season_name
+from daymark.functions.text import _each_word
 from daymark.operators import (
+    Group,
     Side,
     join_sources,
     labelled_sum,
+    latest_per_group,
     latest_per_key,
     snapshot_at,
     split_left_join,
@@ -65,6 +69,35 @@ def test_initcap_begins_a_word_after_each_delimiter(spark):
     assert row[0] == "".join(f"{c}Ab" for c in C.WORD_ENDS) + "'ab9ab"
 
 
+def test_initcap_by_marks_equals_initcap_word_by_word(spark):
+    """Random texts over all delimiters, with letters that change their length or depend on their neighbours, and the mark."""
+    letters = "aBzZ'9_" + C.WORD_ENDS + "\u00df\u0130\u03a3\u03c3\u01c6\u00e9\ue000"
+    draw = random.Random(5)
+    texts = ["".join(draw.choices(letters[: draw.choice([7, 30, len(letters)])], k=draw.randrange(25))) for _ in range(600)]
+    texts += [None, "", " ", "\ue000 a", "a\ue000 b-c", "a-\ue000 b", "- a", "a- b-", "\u03b1\u03a3-\u03a3"]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    for ends in [C.WORD_ENDS, " -", "-", " "]:
+        rows = df.select("t", initcap("t", ends).alias("fast"), _each_word(F.col("t"), ends).alias("slow")).collect()
+        assert [row.fast for row in rows] == [row.slow for row in rows]
+    assert any(text and text.isascii() for text in texts) and any(text and not text.isascii() for text in texts)
+
+
+def test_latest_per_group_equals_latest_per_key(spark):
+    draw = random.Random(8)
+    rows = [
+        (draw.choice(["a", "b", None]), draw.choice(["x", "y", None]), draw.choice(["p", "q", None]), draw.choice([1, 2, None]), n)
+        for n in range(200)
+    ]
+    df = spark.createDataFrame(rows, "one string, two string, kind string, day int, value int")
+    groups = [Group(F.col("kind") == "p", "one"), Group((F.col("kind") != "p") & (F.col("value") > 20), "two")]
+    for group, found in zip(groups, latest_per_group(df, groups, "day", ["value"]), strict=True):
+        alone = latest_per_key(df, [group.key], "day", ["value"], group.where).select(group.key, "day", "value")
+        assert found.columns == alone.columns
+        assert sorted(found.collect(), key=str) == sorted(alone.collect(), key=str)
+    with pytest.raises(ValueError):
+        latest_per_group(df, groups, "day", [])
+
+
 def test_labels(spark):
     flags = spark.createDataFrame([(1,), (0,), (None,)], "finished_window_flag int")
     assert [row[0] for row in flags.select(finished_label()).collect()] == ["actual", "postlaunch", "postlaunch"]

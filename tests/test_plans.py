@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark.operators import Side, join_sources, latest_per_key, union_distinct
 from daymark.plans import build_endpoint, future, launched
 from daymark.plans import endpoint as stages
 from daymark.queries import registered
 from daymark.sinks import by_start_date
-from daymark.sources import RESULT_SCHEMA, SCHEMAS, conform, from_parquet
+from daymark.sources import RESULT_SCHEMA, SCHEMAS, conform, from_parquet, write_forecasts
 from tests import golden
 from tests.plans import count, plan_of, scans, settings, shuffled_plan
 
@@ -57,9 +58,11 @@ def test_building_the_plan_starts_no_job(spark, tables):
 
 
 def test_endpoint_adds_no_shuffle_for_the_union(spark, tables):
-    arms = shuffled_plan(lambda: launched(tables), spark) + shuffled_plan(lambda: future(tables), spark)
+    picks = stages.shared_picks(tables)
+    both = [launched(tables, picks=picks), future(tables, picks=picks)]
+    arms = "".join(shuffled_plan(lambda: arm.select("*"), spark) for arm in both)
     whole = shuffled_plan(lambda: build_endpoint(tables), spark)
-    generic = shuffled_plan(lambda: union_distinct(launched(tables), future(tables), RESULT_SCHEMA.names), spark)
+    generic = shuffled_plan(lambda: union_distinct(*both, RESULT_SCHEMA.names), spark)
     assert count(whole, "Exchange hashpartitioning") == count(arms, "Exchange hashpartitioning")
     assert count(generic, "Exchange hashpartitioning") == count(arms, "Exchange hashpartitioning") + 1
 
@@ -90,23 +93,49 @@ def test_filters_and_columns_reach_the_scans(spark, tables, tmp_path, whole):
     read = scans(shuffled_plan(lambda: build_endpoint(tables), spark))
     # Sides that can multiply rows are read once more, for the counts of their keys; there the key must not be NULL either.
     read = {(frozenset(columns), re.sub(r"(, )?IsNotNull\(\w+\)(, )?", "", pushed)) for columns, pushed in read}
-    assert len(read) >= 9
+    assert len(read) >= 7
     by_columns = {frozenset(columns): pushed for columns, pushed in read}
     assert "EqualTo(days_on_platform,28)" in by_columns[frozenset({"match_id", "pct_actives", "days_on_platform"})]
     forecasts = [(columns, pushed) for columns, pushed in read if "pred_day" in columns]
-    assert len(forecasts) == 3  # those of launched titles look alike for both metrics
+    assert len(forecasts) == 2  # one scan per table, for the picks of both arms
     for columns, pushed in forecasts:
         assert "EqualTo(target_day,28)" in pushed
         assert "effective_start_date" not in columns
-        assert "EqualTo(phase,Post-Launch)" in pushed  # plain, or inside Not(...)
-    assert sum("Not(EqualTo(phase,Post-Launch))" in pushed for _, pushed in forecasts) == 2
-    assert sum("LessThanOrEqual(pred_day,28)" in pushed for _, pushed in forecasts) == 1
+        assert "Or(And(EqualTo(phase,Post-Launch),LessThanOrEqual(pred_day,28))" in pushed
+        assert "Not(EqualTo(phase,Post-Launch))" in pushed
     assert sum("LessThanOrEqual(pred_day,0)" in pushed for _, pushed in forecasts) == 1
     for columns, pushed in read:
         if "schedule_label" in columns:
             assert "EqualTo(schedule_label," in pushed
 
 
+def test_each_forecast_table_is_scanned_once_for_both_arms(spark, tables):
+    plan = shuffled_plan(lambda: build_endpoint(tables), spark)
+    assert sum("pred_day" in columns for columns, _ in scans(plan)) == 2
+    apart = shuffled_plan(lambda: launched(tables), spark) + shuffled_plan(lambda: future(tables), spark)
+    assert sum("pred_day" in columns for columns, _ in scans(apart)) > 2
+
+
+def test_forecasts_laid_out_by_day_and_phase_open_the_folders_of_the_day(spark, tables, tmp_path):
+    root = str(tmp_path / "inputs")
+    for name in SCHEMAS:
+        table = getattr(tables, name)
+        if "phase" not in table.columns:
+            table.write.parquet(f"{root}/{name}")
+            continue
+        other_days = table.withColumn("target_day", (table.target_day + 1).cast("int"))
+        write_forecasts(table.union(other_days), f"{root}/{name}")
+    laid_out = from_parquet(spark, root)
+    assert {tuple(row) for row in build_endpoint(laid_out).collect()} == golden.EXPECTED
+    picked = stages.forecast_launched(laid_out.active_forecast, "activepct")
+    (line,) = [line for line in plan_of(picked).splitlines() if "FileScan parquet" in line]
+    pruned = line[line.index("PartitionFilters") : line.index("PushedFilters")]
+    assert "target_day" in pruned and "= 28" in pruned and "Post-Launch" in pruned
+    wanted = laid_out.active_forecast.where("target_day = 28 AND phase = 'Post-Launch'")
+    opened = {row[0] for row in wanted.select(F.input_file_name()).distinct().collect()}
+    assert opened and all("target_day=28/phase=Post-Launch" in file for file in opened)
+
+
 def test_forecasts_of_launched_titles_do_not_read_names(spark, tables):
     (read,) = scans(shuffled_plan(lambda: stages.forecast_launched(tables.view_forecast, "viewpct"), spark))
     assert read[0] == {"match_id", "prediction", "phase", "target_day", "pred_day"}
