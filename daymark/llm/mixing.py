@@ -94,14 +94,18 @@ def mixed(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
     )
     taken = stored(taken.where("_copies > 0").withColumnsRenamed({"doc_id": "_doc_id", "_text": "_hash"}))
-    same = docs["doc_id"].eqNullSafe(taken["_doc_id"]) & (F.xxhash64(docs["text"]) == taken["_hash"])
-    joined = docs.join(taken.hint("shuffle_hash"), same)
+    # Columns of the input go by their place on the way, so that none of them can clash with what is added.
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    keys = [docs["doc_id"].alias("_id"), F.xxhash64(docs["text"]).alias("_text")]
+    rows = docs.select(*[docs[c].alias(place) for c, place in zip(docs.columns, places)], *keys)
+    same = rows["_id"].eqNullSafe(taken["_doc_id"]) & (rows["_text"] == taken["_hash"])
+    joined = rows.join(taken.hint("shuffle_hash"), same)
     again = F.expr("explode(array_repeat(0, cast(_copies as int)))").alias("_again")
-    out = joined.where("_rows = 1").select(*[docs[c] for c in docs.columns], again).drop("_again")
+    out = joined.where("_rows = 1").select(*places, again).drop("_again").toDF(*docs.columns)
     if taken.where("_rows > 1").isEmpty():
         return out
     several = joined.where("_rows > 1").dropDuplicates(["_doc_id", "_hash"])
-    return out.union(several.select(*[docs[c] for c in docs.columns], again).drop("_again"))
+    return out.union(several.select(*places, again).drop("_again"))
 
 
 def mix_report(docs: DataFrame, how: Mix = Mix()) -> DataFrame:

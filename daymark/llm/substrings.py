@@ -227,9 +227,13 @@ def without_repeats(docs: DataFrame, how: Passages = Passages()) -> DataFrame:
 
     Texts with nothing to remove are left as they are, white space included.
     """
-    changed = stored(cut_texts(repeats(docs, how))).select("doc_id", F.col("kept").alias("_kept_text"))
-    joined = docs.join(changed, "doc_id", "left").withColumn("text", F.coalesce("_kept_text", "text"))
-    if "n_chars" in docs.columns:
-        length = F.length("_kept_text").cast(docs.schema["n_chars"].dataType)
-        joined = joined.withColumn("n_chars", F.coalesce(length, "n_chars"))
-    return joined.select(*docs.columns)
+    changed = stored(cut_texts(repeats(docs, how))).select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
+    # Columns of the input go by their place on the way, so that none of them can clash with what is added.
+    places = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*places.values())
+    joined = rows.join(changed, rows[places["doc_id"]] == changed["_id"], "left")
+    new = {"text": F.coalesce("_kept", places["text"])}
+    if "n_chars" in places:
+        length = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.coalesce(length, places["n_chars"])
+    return joined.select(*[new.get(c, F.col(place)).alias(c) for c, place in places.items()])

@@ -19,9 +19,10 @@ from daymark.llm import (
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, a int, band string, component string, "
-    "id int, hub int, _range string, _source string, size string, start string, place int, task int, count int, _doc_id int"
+    "id int, hub int, _range string, _source string, size string, start string, place int, task int, count int, _doc_id int, "
+    "_again int, _copies int, _rows int, _kept_text string, _kept int, _id int, c0 int, kept int, removed int"
 )
-EXTRA = (1, "b", "c", 2, 3, "r", "s", "z", "t", 4, 5, 6, 7)
+EXTRA = (1, "b", "c", 2, 3, "r", "s", "z", "t", 4, 5, 6, 7, 8, 9, 10, "u", 11, 12, 13, 14, 15)
 LONG = " ".join(f"word{i % 7000}x{i % 13}" for i in range(30_000))
 TEXTS = [
     (1, "one two three four five six seven", "en", "s1"),
@@ -110,6 +111,7 @@ def test_one_of_each_group(docs, empty):
 def test_cut_texts(docs):
     cut = {row["doc_id"]: row for row in substrings.without_repeats(docs).collect() if row["doc_id"] is not None}
     assert cut[7]["text"] == "and a little more" and cut[7]["n_chars"] == 17
+    assert cut[7][5:] == EXTRA and substrings.without_repeats(docs).columns == docs.columns
     assert cut[6]["text"] == LONG and cut[5]["text"] == TEXTS[5][1] and cut[3]["text"] is None
 
 
@@ -121,6 +123,7 @@ def test_mixed_rows(docs, empty):
     assert mixed.columns == docs.columns
     counts = {}
     for row in mixed.collect():
+        assert row[5:] == EXTRA
         counts[row["doc_id"]] = counts.get(row["doc_id"], 0) + 1
     assert counts == {doc_id: n for doc_id, n in taken.items() if n}
     assert mixing.mixed(empty).collect() == []
