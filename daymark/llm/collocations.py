@@ -85,35 +85,38 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
 
 
 def counted(words: list[bytes]) -> tuple[list[pa.Array], np.ndarray]:
-    """The different trigrams that begin at any word but the last two of the list, and their numbers. A trigram ends at a
-    break, its missing words are empty."""
+    """The different trigrams that begin at any word but the last two of the list, and their numbers, in the order of their
+    bytes. A trigram ends at a break, its missing words are empty."""
     encoded = pa.array(words, pa.binary()).dictionary_encode()
-    ids, names = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
-    none = len(names)
-    ends = pc.index(names, pa.scalar(_BREAK, pa.binary())).as_py()
-    if ends >= 0:
-        ids[ids == ends] = none
+    order = pc.sort_indices(encoded.dictionary)
+    names = pa.concat_arrays([pa.array([b""], pa.binary()), encoded.dictionary.take(order)])
+    places = np.empty(len(order), np.int64)
+    places[order.to_numpy()] = np.arange(1, len(names))
+    if (ends := pc.index(encoded.dictionary, pa.scalar(_BREAK, pa.binary())).as_py()) >= 0:
+        places[ends] = 0
+    ids = places[encoded.indices.to_numpy()]
     first, second, third = ids[:-2], ids[1:-1], ids[2:].copy()
-    third[second == none] = none
-    begins = first != none
-    base = none + 1
+    third[second == 0] = 0
+    begins = first != 0
+    base = len(names)
     values, numbers = np.unique(((first * base + second) * base + third)[begins], return_counts=True)
-    names = pa.concat_arrays([names, pa.array([b""], pa.binary())])
     columns = [values // (base * base), values // base % base, values % base]
     return [names.take(pa.array(column)) for column in columns], numbers
 
 
 def _streams(how: Mining):
-    """Texts to counts of trigrams, combined over ``block_words`` words at a time."""
+    """Texts to counts of trigrams, combined over ``block_words`` words at a time. They leave in the order of their keys, so
+    what sorts them later merges runs."""
 
     def flush(held: dict[bytes, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        for lang, words in held.items():
+        for lang, words in sorted(held.items(), key=lambda item: item[0]):
             if len(words) > 2:
                 grams, numbers = counted(words)
                 for start in range(0, len(numbers), 65_536):
                     cut = slice(start, start + 65_536)
                     keys = _join(pa.scalar(lang, pa.binary()), *[w[cut] for w in grams])
-                    yield pa.RecordBatch.from_arrays([keys, pa.array(numbers[cut], pa.int64())], ["key", "n"])
+                    columns = [keys.view(pa.string()), pa.array(numbers[cut], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
             held[lang] = words[-2:]  # their trigrams may go on
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,36 +152,40 @@ def _levels(least: int):
         return pa.RecordBatch.from_arrays(columns, ["key", "back", "size", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_groups: list = [None] * (WORDS + 1)  # per level: parts and sum of the group that may go on
-        started = [False] * (WORDS + 1)  # whether the first group of the range has left
+        width = WORDS + 1
+        open_groups: list = [None] * width  # per level: parts and sum of the group that may go on
+        started = [False] * width  # whether the first group of the range has left
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts, numbers = _parts(batch.column(0)), batch.column(1).to_numpy()
-            new = np.zeros(batch.num_rows, bool)
-            new[0] = True
-            for level in range(WORDS + 1):
-                own = parts[level]
-                new[1:] |= pc.not_equal(own[1:], own[:-1]).to_numpy(zero_copy_only=False)
-                starts = np.flatnonzero(new)
+            numbers = batch.column(1).to_numpy()
+            parts = pc.split_pattern(batch.column(0).cast(pa.binary()), b"\t").flatten()  # a row's stand in sequence
+            new = np.ones((batch.num_rows, width), bool)
+            new[1:] = pc.not_equal(parts[width:], parts[:-width]).to_numpy(zero_copy_only=False).reshape(-1, width)
+            new = np.logical_or.accumulate(new, axis=1)
+            for level in range(width):
+                starts = np.flatnonzero(new[:, level])
                 sums = np.add.reduceat(numbers, starts)
-                heads = [p.take(pa.array(starts)) for p in parts[: level + 1]]
                 if open_groups[level] is not None:
                     before, total = open_groups[level]
-                    if all(h[0].as_py() == b for h, b in zip(heads, before)):
+                    if parts[: level + 1].to_pylist() == before:
                         sums[0] += total
                     else:
-                        heads = [pa.concat_arrays([pa.array([b], pa.binary()), h]) for h, b in zip(heads, before)]
-                        sums = np.append(total, sums)
-                open_groups[level] = [h[-1].as_py() for h in heads], sums[-1]
+                        if (total >= least or not started[level]) and (not level or before[level]):
+                            yield rows([pa.array([p], pa.binary()) for p in before], np.array([total]), level)
+                        started[level] = True
+                starts *= width
+                open_groups[level] = parts[starts[-1] : starts[-1] + level + 1].to_pylist(), sums[-1]
                 leaves = sums[:-1] >= least
                 if not started[level] and len(leaves):
                     leaves[0] = started[level] = True
+                at, sums = starts[:-1][leaves], sums[:-1][leaves]
+                heads = [parts.take(pa.array(at + i)) for i in range(level + 1)]
                 if level:  # an empty word stands for the end of a piece
-                    leaves &= pc.not_equal(heads[level][:-1], b"").to_numpy(zero_copy_only=False)
-                if leaves.any():
-                    at = pa.array(np.flatnonzero(leaves))
-                    yield rows([h.take(at) for h in heads], sums[:-1][leaves], level)
+                    some = pc.not_equal(heads[level], b"")
+                    heads, sums = [h.filter(some) for h in heads], sums[some.to_numpy(zero_copy_only=False)]
+                if len(sums):
+                    yield rows(heads, sums, level)
         for level, group in enumerate(open_groups):
             if group is not None and (not level or group[0][level]):
                 yield rows([pa.array([p], pa.binary()) for p in group[0]], np.array([group[1]]), level)
@@ -193,7 +200,8 @@ def gram_counts(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
     occurs as often as the phrase, so nothing that a candidate needs is left out.
     """
     texts = docs.select(F.col("lang").cast("string"), "text")
-    trigrams = texts.mapInArrow(_streams(how), "key binary, n bigint")
+    # As strings, not checked to be UTF-8: Spark compares them where they lie, and copies binaries for each comparison.
+    trigrams = texts.mapInArrow(_streams(how), "key string, n bigint")
     ordered = trigrams.repartitionByRange("key").sortWithinPartitions("key")
     pieces = ordered.mapInArrow(_levels(how.least), "key binary, back binary, size int, n bigint")
     sums = pieces.groupBy("key", "back", "size").agg(F.sum("n").alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from daymark.llm import collocations
@@ -93,3 +94,36 @@ def test_ranges_meet(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert found == Counter(plain(rows, Mining(top=10_000)))
+
+
+def test_blocks_leave_in_the_order_that_spark_sorts_by():
+    """Spark then merges runs, and it compares strings where they lie."""
+    rows = texts(5)
+    docs = pa.RecordBatch.from_pydict({"lang": [row[0] for row in rows], "text": [row[1] for row in rows]})
+    batches = list(collocations._streams(Mining())(iter([docs])))
+    assert {batch.schema.field("key").type for batch in batches} == {pa.string()}
+    keys = [key for batch in batches for key in batch.column(0).cast(pa.binary()).to_pylist()]
+    assert keys == sorted(set(keys)) and len(keys) > 500
+    words = {row[0]: row[6] for row in plain(rows, Mining(least=1))}
+    assert sum(sum(batch.column(1).to_pylist()) for batch in batches) == sum(words.values())
+
+
+@pytest.mark.parametrize("least", [1, 4])
+@pytest.mark.parametrize("rows_each", [1, 2, 7, 1000])
+def test_levels_of_batches_cut_anywhere(least, rows_each):
+    docs = pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 40, "text": [f"a b{i % 3} c. a{i % 5} b! a" for i in range(80)]})
+    streams = collocations._streams(Mining(block_words=20))(iter([docs]))
+    ordered = sorted(row for batch in streams for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    expected = Counter()
+    for key, n in ordered:
+        parts = key.split("\t")
+        for level in range(4):
+            if not level or parts[level]:
+                expected["\t".join([*parts[: level + 1], *[""] * (3 - level)]).encode(), level] += n
+    cuts = [ordered[i : i + rows_each] for i in range(0, len(ordered), rows_each)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in c]), pa.array([n for _, n in c])], ["key", "n"]) for c in cuts]
+    found = [row for batch in collocations._levels(least)(iter(batches)) for row in batch.to_pylist()]
+    counts = {(row["key"], row["size"]): row["n"] for row in found}
+    assert len(counts) == len(found)
+    assert all(expected[gram] == n for gram, n in counts.items())
+    assert {gram for gram, n in expected.items() if n >= least} <= set(counts)
