@@ -7,6 +7,7 @@ import itertools
 import numpy as np
 import pytest
 
+from daymark import session
 from daymark.llm import languages, quality, toxicity, vectors
 
 FOLDER = "/root/testdata/sf0.01"
@@ -343,6 +344,58 @@ def test_loose_links_beside_a_tight_group(spark):
     assert {r["vec_id"]: r["n_links"] for r in found} == dict(enumerate(wanted.tolist()))
 
 
+def test_vectors_are_stored_once(spark, tmp_path, monkeypatch):
+    """Vectors without structure visit most cells, and neither they nor the lists of their cells are stored for it."""
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    rng = np.random.default_rng(10)
+    rows = [(i, i % 2, x.tolist()) for i, x in enumerate(rng.normal(size=(1200, 32)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>")
+    found = vectors.near_duplicates(df, vectors.Search(cell_rows=2)).collect()
+    assert len(found) == 1200 and not any(r["n_links"] for r in found)
+    stored = sum(path.stat().st_size for path in tmp_path.rglob("*.parquet"))
+    assert 0 < stored < 2 * 1200 * 32 * 4
+
+
+def test_spans_meet_in_rounds(spark, monkeypatch):
+    """Labels over many spans, whose pairs are dealt to several rounds; single precision, odd values, repeated rows."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(6, 12))
+    rows = []
+    for i in range(400):
+        x = centres[rng.integers(0, 6)] + rng.normal(size=12) * rng.choice([0, 1e-4, 0.03, 0.15, 1.0])
+        rows.append((i, [1, 2, 3][rng.choice(3, p=[0.8, 0.15, 0.05])], (x * rng.choice([1, 5])).astype(np.float32).tolist()))
+    odd = [None, [], [0.0] * 12, [1.0, None], [float("nan")] * 12, rows[0][2][:5], [-0.0, 1.0], [0.0, 2.0], [3e38] * 12]
+    rows += [(400 + i, 1, x) for i, x in enumerate(odd)]
+    purposes = []
+    monkeypatch.setattr(vectors, "LEAST_SHIPPED", 1)
+    monkeypatch.setattr(vectors, "fresh_folder", lambda s, purpose: purposes.append(purpose) or session.fresh_folder(s, purpose))
+    df = spark.createDataFrame([*rows, *rows[:50]], "vec_id bigint, label int, embedding array<float>")
+    how = vectors.Search(sample=100, cell_rows=5, block=4, held=1500, shipped=2.0)
+    before = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    found = vectors.near_duplicates(df, how).collect()
+    assert purposes.count("links") > 2
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == before
+    links = plain_links([r for r in rows if r[2] and None not in r[2]], 0.98)
+    assert len(found) == len(rows) + 50 and {r["vec_id"] for r in found} == {r[0] for r in rows}
+    for row in found:
+        wanted = reachable(links, row["vec_id"])
+        assert (row["n_links"], row["component_id"]) == (len(links.get(row["vec_id"], ())), wanted)
+        assert row["kept"] == (row["vec_id"] == wanted)
+
+
+def test_groups_are_united():
+    rng = np.random.default_rng(12)
+    a, b = rng.integers(0, 300, (2, 200))
+    root = np.arange(300)
+    for part in range(0, 200, 50):
+        vectors.unite(root, a[part : part + 50], b[part : part + 50])
+    links = {}
+    for i, j in zip(a.tolist(), b.tolist()):
+        links.setdefault(i, set()).add(j)
+        links.setdefault(j, set()).add(i)
+    assert root.tolist() == [reachable(links, i) for i in range(300)]
+
+
 def test_vectors_without_ids_repeated_and_none(spark):
     schema = "vec_id bigint, label int, embedding array<float>, n int, cell string, size int"
     rows = [(1, 1, [1.0, 2.0], 0, "", 1), (1, 1, [1.0, 2.0], 0, "", 1), (None, 1, [1.0, 2.0], 0, "", 1), (2, 1, [2.0, 4.0], 0, "", 1)]
