@@ -31,7 +31,7 @@ class Search(NamedTuple):
     block: int = 1024
     seed: int = 3
     held: int = 32 << 20
-    shipped: float = 2.0
+    shipped: float = 1.5
     axes: int = 16
 
 
@@ -361,17 +361,22 @@ class _Meeting:
         return out
 
     def _visits(self, left: _Rows) -> Iterator[tuple[np.ndarray, int, int]]:
-        """Left rows, and the first and the last held row that they visit: cell by cell in order of distance."""
+        """Left rows, and the first and the last held row that they visit, cell by cell."""
         if len(left.ids) * len(self.held.ids) <= SLICE // 4:  # few pairs are sooner compared than their cells found
             yield np.arange(len(left.ids)), 0, len(self.held.ids)
             return
         first, second = self._margins(left)
         width = len(self.index.codebooks[1])
         firsts, seconds = self.firsts.tolist(), self.seconds.tolist()
+        visited: dict[int, list[int]] = {}
         for i, j in nearest_cells(first.min(1), second.min(1), self.reach):
-            rows = self.cells.get(firsts[i] * width + seconds[j])
-            if rows is not None:
-                yield np.flatnonzero(first[i] + second[j] <= self.reach), *rows
+            if firsts[i] * width + seconds[j] in self.cells:
+                visited.setdefault(i, []).append(j)
+        for i, found in visited.items():  # rows are looked for among those that come near the first half of the cell
+            able = np.flatnonzero(first[i] <= self.reach)
+            sums = second[:, able] + first[i, able]
+            for j in found:
+                yield able[np.flatnonzero(sums[j] <= self.reach)], *self.cells[firsts[i] * width + seconds[j]]
 
     def within(self, step: int) -> None:
         for i in range(0, len(self.held.ids), step):
@@ -390,15 +395,15 @@ class _Meeting:
         likely: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
         for visitors, start, last in self._visits(left):
-            step = max(1, SLICE // max(1, len(visitors)))
+            step, own = max(1, SLICE // max(1, len(visitors))), along[visitors]
             for at in range(max(start, base + 1) if same else start, last if len(visitors) else 0, step):
                 end = min(at + step, last)
-                near = along[visitors] @ self.right[:, at:end] <= self.reach
+                near = own @ self.right[:, at:end] <= self.reach
                 found = np.count_nonzero(near)
                 if 8 * found > near.size:
                     self._all(left, base, visitors, at, end, same)
                 elif found:
-                    i, j = np.nonzero(near)
+                    i, j = np.divmod(np.flatnonzero(near), end - at)
                     likely.append((visitors[i], j + at))
                     count += found
                 if count >= SLICE:
@@ -517,7 +522,7 @@ def links(blocks: DataFrame, index: Index, kind: str, how: Search) -> DataFrame:
     spark = blocks.sparkSession
     numbers, total, shuffled = spans(blocks, kind, how)
     rounds = max(1, math.ceil(shuffled / max(how.shipped * total, LEAST_SHIPPED)))
-    tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(2 * shuffled / rounds / how.held))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(4 * shuffled / rounds / how.held))  # about 8 a pair, so that few meet
     numbered = blocks.join(F.broadcast(numbers), ["label", "size", "part"], "left").na.fill({"span": 0, "spans": 1})
     schema, paths = "vec_id bigint, links bigint, root bigint", []
 
