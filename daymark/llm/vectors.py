@@ -47,6 +47,7 @@ class Index(NamedTuple):
 
 ROUNDING = 1e-5  # more than single precision loses in a squared distance of unit vectors
 SLICE = 1 << 18  # numbers worked on at a time
+SIDE = 1 << 9  # most held rows that are compared at a time
 LEAST_SHIPPED = 256 << 20
 BLOB = 1 << 20
 LEFT_BLOCKS = 16
@@ -395,20 +396,22 @@ class _Meeting:
         likely: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
         for visitors, start, last in self._visits(left):
-            step, own = max(1, SLICE // max(1, len(visitors))), along[visitors]
-            for at in range(max(start, base + 1) if same else start, last if len(visitors) else 0, step):
-                end = min(at + step, last)
-                near = own @ self.right[:, at:end] <= self.reach
-                found = np.count_nonzero(near)
-                if 8 * found > near.size:
-                    self._all(left, base, visitors, at, end, same)
-                elif found:
-                    i, j = np.divmod(np.flatnonzero(near), end - at)
-                    likely.append((visitors[i], j + at))
-                    count += found
-                if count >= SLICE:
-                    self._some(left, base, likely, same)
-                    likely, count = [], 0
+            own = along[visitors]
+            for at in range(max(start, base + 1) if same else start, last, SIDE):
+                end = min(at + SIDE, last)
+                step = SLICE // (end - at)
+                for k in range(0, len(visitors), step):
+                    near = own[k : k + step] @ self.right[:, at:end] <= self.reach
+                    found = np.count_nonzero(near)
+                    if 8 * found > near.size:
+                        self._all(left, base, visitors[k : k + step], at, end, same)
+                    elif found:
+                        i, j = np.divmod(np.flatnonzero(near), end - at)
+                        likely.append((visitors[k + i], j + at))
+                        count += found
+                    if count >= SLICE:
+                        self._some(left, base, likely, same)
+                        likely, count = [], 0
         if likely:
             self._some(left, base, likely, same)
 
